@@ -118,7 +118,7 @@ def garbled_forms(word: str) -> set[str]:
 
 def _odd_sign(c: str) -> bool:
     """A sign that sound names do not hold inside words."""
-    if c == "�" or "\x80" <= c <= "\x9f" or c in "ªºƒƑˆ˜":
+    if c == "�" or "\x80" <= c <= "\x9f" or c in "ªºƒƑˆ˜ⁿ":
         return True
     if c.isascii() or "＀" <= c <= "￯" or c in "–—’‘´º":
         return c == "´"
