@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlace.llm import confusables, mojibake
+from voltlace.llm import confusables, mojibake, pii
 from voltlace.session import cut, table
 
 
@@ -44,5 +44,13 @@ def p3_unified(spark: SparkSession, d: str) -> DataFrame:
     return confusables.unify(name_rows(spark, d, gppd=True))
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_unified": p3_unified}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find(table(spark, d, "documents"))
+
+
+def p8_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redact(table(spark, d, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_unified": p3_unified, "p8_found": p8_found, "p8_redacted": p8_redacted}
 ORACLE: dict[str, str] = {}
