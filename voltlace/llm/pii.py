@@ -204,7 +204,7 @@ def find_spans(text: str) -> list[Span]:
         while at < end and not (text[at - 1].isspace()):
             at += 1
         words = regex.findall(r"\p{L}+", m.group())
-        if any(w.lower() in _NOT_NAMES for w in words):
+        if any(len(w) > 1 and w.lower() in _NOT_NAMES for w in words):
             continue
         near = bool(NAME_LEFT.search(left))
         mail = _TO_MAIL.match(text, end)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlace.llm import confusables, mojibake, pii
+from voltlace.llm import confusables, leakage, mixing, mojibake, pii
 from voltlace.session import cut, table
 
 
@@ -52,5 +52,29 @@ def p8_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(table(spark, d, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_unified": p3_unified, "p8_found": p8_found, "p8_redacted": p8_redacted}
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_spans(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_items(_leaks(spark, d))
+
+
+def p6_removal(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.removal_spans(_leaks(spark, d))
+
+
+def _mix(spark: SparkSession, d: str) -> mixing.Mix:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), cut=cut)
+
+
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d).documents
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d).shares
+
+
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_unified": p3_unified, "p6_found": p6_found, "p6_removal": p6_removal, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_redacted": p8_redacted}
 ORACLE: dict[str, str] = {}
