@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltlace.llm.names import deletions, parse_names, stand_in, within_one_edit
+from voltlace.llm.names import deletions, look_alike, parse_names, stand_in, within_one_edit
 
 ACCEPT = 0.5
 CELL = 0.5  # degrees
@@ -128,6 +128,27 @@ def block_spellings(rows: DataFrame) -> DataFrame:
     return spellings.join(twice, ["sound", "quals"], "left").select("sound", "quals", F.concat_ws(" ", F.coalesce("up", "sound"), F.nullif("quals", F.lit(""))).alias("block"))
 
 
+def rejoin_lonely(rows: DataFrame) -> DataFrame:
+    """Rows whose block only one table knows join the block of a like spelling (two edits, lost signs) at the same site."""
+    fine = lambda c: F.floor(F.col(c) * 20).cast("int")
+    points = rows.where("latitude is not null and not isnan(latitude) and not isnan(longitude)").groupBy("block", "sound", "quals", F.round("latitude", 2).alias("la"), F.round("longitude", 2).alias("lo")).agg(F.count("*").alias("n"))
+    tables = rows.groupBy("block").agg(F.count_distinct("table_name").alias("tables"))
+    cells = points.withColumn("ca", fine("la")).withColumn("co", fine("lo"))
+    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("da"), F.lit(j).alias("do")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    lonely = cells.join(tables.where("tables = 1"), "block").withColumn("d", steps).withColumn("ca", F.col("ca") + F.col("d.da")).withColumn("co", F.col("co") + F.col("d.do"))
+    rank = lambda s: F.struct(F.col(f"{s}.tables"), F.col(f"{s}.n"), F.col(f"{s}.block"))
+    moved = (
+        lonely.alias("x")
+        .join(cells.join(tables, "block").alias("y"), ["ca", "co", "quals"])
+        .where((F.col("x.block") != F.col("y.block")) & (rank("y") > rank("x")) & (F.abs(F.col("x.la") - F.col("y.la")) < 0.03) & (F.abs(F.col("x.lo") - F.col("y.lo")) < 0.03))
+        .select(F.col("x.block").alias("block"), F.col("x.sound").alias("s"), F.col("y.sound").alias("t"), F.col("y.block").alias("new"), F.col("y.n").alias("n"))
+        .where(look_alike("s", "t"))
+        .groupBy("block")
+        .agg(F.max_by("new", F.struct("n", "new")).alias("new"))
+    )
+    return rows.join(moved, "block", "left").withColumn("block", F.coalesce("new", "block")).drop("new")
+
+
 def _cell(c: Column) -> Column:
     return F.round(c / CELL).cast("int")
 
@@ -316,7 +337,7 @@ def resolve(rows: DataFrame, repaired: DataFrame, cut: Callable[[DataFrame], Dat
     """Rows of all tables with block, place and mention; see :func:`parse_rows` for ``repaired``."""
     parsed = cut(parse_rows(rows, repaired))
     blocked = parsed.join(block_spellings(parsed), ["sound", "quals"])
-    return cut(attach_unplaced(locate(cut(blocked))))
+    return cut(attach_unplaced(locate(cut(rejoin_lonely(cut(blocked))))))
 
 
 def match(rows: DataFrame, repaired: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -23,7 +23,8 @@ FUEL_WORDS = {
     "solar": "solar", "ufv": "solar", "pv": "solar", "wind": "wind", "eol": "wind", "hydro": "hydro", "hydroelectric": "hydro", "uhe": "hydro",
     "pch": "hydro", "cgh": "hydro", "hps": "hydro", "hep": "hydro", "hepp": "hydro", "nuclear": "nuclear", "npp": "nuclear",
 }
-_LONG_TYPES = sorted(w for w in TYPE_WORDS if len(w) >= 5)
+_LONG_TYPES = sorted(w for w in TYPE_WORDS if len(w) >= 4)
+_MIXED_TYPES = frozenset("".join(sorted(w)) for w in TYPE_WORDS if len(w) >= 3)
 QUALIFIERS = ("north", "south", "east", "west", "nord", "upper", "lower", "city", "road", "extension", "velho", "nuevo", "alto", "zdroj", "iii")
 
 CYRILLIC = dict(zip("абвгдезийклмнопрстуфхцьэ", "a b v g d e z i y k l m n o p r s t u f h ts y e".split())) | {
@@ -61,8 +62,29 @@ def one_edit(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
 
 
+def alike(a: str, b: str) -> bool:
+    """Two edits apart at most; a lost sign stands for up to three letters."""
+    if "?" in a or "?" in b:
+        if "?" in b:
+            a, b = b, a
+        return re.fullmatch(".{1,3}".join(map(re.escape, re.split(r"\?+", a))), b) is not None
+    if abs(len(a) - len(b)) > 2:
+        return False
+    row = list(range(len(b) + 1))
+    before: list[int] = []
+    for i, x in enumerate(a, 1):
+        last, row, older = row, [i], before
+        before = last
+        for j, y in enumerate(b, 1):
+            d = min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                d = min(d, older[j - 2] + 1)
+            row.append(d)
+    return row[-1] <= 2
+
+
 def is_type(word: str) -> bool:
-    return word in TYPE_WORDS or (len(word) >= 4 and any(abs(len(t) - len(word)) <= 1 and t[0] == word[0] and one_edit(word, t) for t in _LONG_TYPES))
+    return word in TYPE_WORDS or "".join(sorted(word)) in _MIXED_TYPES or (len(word) >= 4 and word not in QUALIFIERS and any(abs(len(t) - len(word)) <= 1 and t[0] == word[0] and one_edit(word, t) for t in _LONG_TYPES))
 
 
 def parse(name: str | None) -> tuple[str | None, str | None, str | None]:
@@ -70,6 +92,7 @@ def parse(name: str | None) -> tuple[str | None, str | None, str | None]:
     if not name:
         return None, None, None
     s = canonical(name)
+    s = re.sub("\ufffd+", "?", s)
     s = re.sub(r"^\s*(?:GEM|GPPD)\s*:\s*", "", s, flags=re.I)
     s = re.sub(r"\([^)]*\)?", " ", s)
     s = SITE_SUFFIX.sub("", s)
@@ -161,3 +184,8 @@ def deletions(words: pd.Series) -> pd.Series:
 @F.pandas_udf(T.BooleanType())
 def within_one_edit(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one_edit(x, y) for x, y in zip(a, b)], dtype=bool)
+
+
+@F.pandas_udf(T.BooleanType())
+def look_alike(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([alike(x, y) for x, y in zip(a, b)], dtype=bool)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlace.llm import confusables, leakage, mixing, mojibake, pii
+from voltlace.llm import confusables, entity, leakage, mixing, mojibake, pii, survivor
 from voltlace.session import cut, table
 
 
@@ -76,5 +76,34 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d).shares
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_unified": p3_unified, "p6_found": p6_found, "p6_removal": p6_removal, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_redacted": p8_redacted}
+def _plant_rows(spark: SparkSession, d: str) -> DataFrame:
+    return (
+        entity.gem_rows(table(spark, d, "gem_database"))
+        .unionByName(entity.gppd_rows(table(spark, d, "gppd")))
+        .unionByName(entity.crosswalk_rows(table(spark, d, "unified_plant_crosswalk")))
+    )
+
+
+def p2_matches(spark: SparkSession, d: str) -> DataFrame:
+    return entity.match(_plant_rows(spark, d), _garbled(spark, d), cut)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_matches(spark, d).select("id_a", "id_b")
+
+
+def _unit_groups(spark: SparkSession, d: str) -> DataFrame:
+    resolved = entity.resolve(_plant_rows(spark, d), _garbled(spark, d), cut)
+    return survivor.unit_groups(table(spark, d, "gem_database"), resolved)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.duplicate_pairs(_unit_groups(spark, d))
+
+
+def p4_survivors(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.surviving_units(table(spark, d, "gem_database"), table(spark, d, "record_sources"), cut(_unit_groups(spark, d)))
+
+
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p2_found": p2_found, "p2_matches": p2_matches, "p3_found": p3_found, "p3_unified": p3_unified, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p6_removal": p6_removal, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_redacted": p8_redacted}
 ORACLE: dict[str, str] = {}
