@@ -1,20 +1,20 @@
 """Matching entities across sources without keys (problem 2).
 
-Method. Names are repaired, brought to one form and parsed; the rows of each
-table are gathered into mentions of one place (name block and place on the
-map, or what else is known where coordinates are missing). Mentions of
-different tables that share a block are candidate pairs, with odds from
-several noisy attributes. Loopy belief propagation over these pairs, with the
-factor that a mention has at most one partner in each other table, exchanges
-messages through joins and aggregations until they stand still; the marginal
-of a pair is its confidence. Pairs with a marginal of ``ACCEPT`` or more are
-expanded to the rows of both mentions.
-
-Scale. Rows are aggregated into mentions before anything is paired, so a plant
-that a third of all rows describe is one mention. Located mentions are paired
-only with those of the same block in the same or an adjoining map cell, never
-within a whole block. Only pairs that compete with others take part in the
-message rounds. Every round's state is written to the shared folder.
+Method. Names are repaired, brought to one form and parsed; rows that agree in
+all that is compared are one combination, and combinations of a table that
+tell of one place are a mention of it. Mentions of different tables that share
+a name block are candidate pairs, with odds from several noisy attributes.
+Loopy belief propagation over these pairs, with the factor that a mention has
+at most one partner in each other table, exchanges messages through joins and
+aggregations until they stand still; the marginal of a pair is its confidence.
+Pairs with a marginal of ``ACCEPT`` or more are expanded to the rows of both.
+
+Scale. A plant that a third of all rows describe is a handful of combinations,
+since rows are aggregated (with partial sums) before anything is paired. A
+block is judged from its combinations - map points to a hundredth of a degree,
+regions, fuels - never from its rows; within it, mentions meet through map
+cells and regions, not all with all. Only pairs that compete with others take
+part in the message rounds. Every round's state is written to the shared folder.
 
 Cases: rows without a usable name are matched to nothing; coordinates that are
 missing, out of range or (0, 0) count as unknown, mirrored or swapped ones are
@@ -25,23 +25,27 @@ tables give no pairs.
 
 from __future__ import annotations
 
+import math
+from collections import Counter, defaultdict
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltlace.llm.names import deletions, look_alike, parse_names, stand_in, within_one_edit
 
 ACCEPT = 0.5
-CELL = 0.5  # degrees
 NEAR = 0.12  # degrees within which coordinates mean the same site
+FAR = 0.36
 ROUNDS = 30
 STILL = 1e-3
 DAMPING = 0.5
 
 # log-odds of the evidence
 PRIOR = 1.5
-ODDS = {"near": 6.0, "far": -7.0, "state": 2.5, "other_state": -3.5, "country": 0.5, "other_country": -7.0, "fuel": 1.0, "other_fuel": -1.5, "spelling": 0.5, "other_spelling": -0.7}
+ODDS = {"near": 6.0, "far": -7.0, "state": 2.5, "other_state": -3.5, "country": 0.5, "other_country": -7.0, "fuel": 1.0, "other_fuel": -1.5, "base": 0.5, "other_base": -0.7}
 
 # Country of a feed, and ISO codes of country names. Fixed values.
 FEED_COUNTRY = {"EIA": "USA", "NPP": "IND", "ONS": "BRA", "OE": "AUS", "OCCTO": "JPN", "CHILE": "CHL"}
@@ -51,7 +55,7 @@ ISO3 = {
     "France": "FRA", "Italy": "ITA", "United Kingdom": "GBR", "Netherlands": "NLD", "Belgium": "BEL", "Austria": "AUT", "Switzerland": "CHE", "Portugal": "PRT", "Sweden": "SWE", "Finland": "FIN",
     "Denmark": "DNK", "Hungary": "HUN", "Slovakia": "SVK", "Slovenia": "SVN", "Croatia": "HRV", "Serbia": "SRB", "Ukraine": "UKR", "Russia": "RUS", "South Korea": "KOR", "Indonesia": "IDN", "South Africa": "ZAF", "Mexico": "MEX", "Argentina": "ARG",
 }
-EUROPE_FEED = "ENTSOE"
+FUELS = (("coal", "coal"), ("gas", "gas"), ("hydro", "hydro"), ("wind", "wind"), ("solar", "solar"), ("bio", "bio"), ("nuclear", "nuclear"), ("oil", "oil"), ("waste", "bio"), ("geo", "geo"))
 
 
 def _lookup(c: Column, values: dict[str, str]) -> Column:
@@ -59,24 +63,25 @@ def _lookup(c: Column, values: dict[str, str]) -> Column:
 
 
 def _fuel(c: Column) -> Column:
-    low = F.lower(F.trim(c))
-    out = F.lit(None).cast("string")
-    for word, fuel in (("coal", "coal"), ("gas", "gas"), ("hydro", "hydro"), ("wind", "wind"), ("solar", "solar"), ("bio", "bio"), ("nuclear", "nuclear"), ("oil", "oil"), ("waste", "bio"), ("geo", "geo")):
-        out = F.when(F.regexp_like(low, F.lit(f"^(fossil )?{word}")), fuel).otherwise(out)
-    return out
+    word = F.regexp_extract(F.lower(F.trim(c)), "^(?:fossil )?(" + "|".join(w for w, _ in FUELS) + ")", 1)
+    return _lookup(F.nullif(word, F.lit("")), dict(FUELS))
+
+
+def _null() -> Column:
+    return F.lit(None).cast("string")
 
 
 def gem_rows(gem: DataFrame) -> DataFrame:
     return gem.select(
-        F.lit("gem_database").alias("table_name"), F.col("gem_row_id").alias("row_id"), F.col("project_name").alias("name"), F.lit(None).cast("string").alias("hint"),
+        F.lit("gem_database").alias("table_name"), F.col("gem_row_id").alias("row_id"), F.col("project_name").alias("name"), _null().alias("hint"),
         _lookup(F.col("country"), ISO3).alias("country"), F.trim("subnational").alias("state"), _fuel(F.col("fuel")).alias("fuel"), "latitude", "longitude",
     )
 
 
 def gppd_rows(gppd: DataFrame) -> DataFrame:
     return gppd.select(
-        F.lit("gppd").alias("table_name"), F.col("gppd_row_id").alias("row_id"), "name", F.lit(None).cast("string").alias("hint"),
-        F.upper(F.trim("country")).alias("country"), F.lit(None).cast("string").alias("state"), _fuel(F.col("primary_fuel")).alias("fuel"), "latitude", "longitude",
+        F.lit("gppd").alias("table_name"), F.col("gppd_row_id").alias("row_id"), "name", _null().alias("hint"),
+        F.upper(F.trim("country")).alias("country"), _null().alias("state"), _fuel(F.col("primary_fuel")).alias("fuel"), "latitude", "longitude",
     )
 
 
@@ -87,216 +92,246 @@ def crosswalk_rows(xwalk: DataFrame) -> DataFrame:
     )
 
 
-def parse_rows(rows: DataFrame, repaired: DataFrame) -> DataFrame:
-    """Adds base, quals and fuel to ``rows``, each distinct name being parsed once.
+COMPARED = ["table_name", "base", "sound", "quals", "country", "state", "fuel", "la", "lo"]
 
-    ``repaired(name, restored)``: names with garbled text and their originals.
-    Where an original is unknown, an earlier match of the row (``hint``) that
-    agrees in the letters that are left stands in for its name.
-    """
-    fixed = repaired.select("name", "restored").distinct()
-    mended = rows.join(fixed.withColumn("garbled", F.lit(True)), "name", "left")
-    lost = F.coalesce(F.col("garbled"), F.lit(False)) & F.col("restored").isNull()
-    usable = lost & F.col("hint").isNotNull()
-    named = mended.withColumn("shown", F.when(usable, stand_in("name", "hint")).otherwise(F.coalesce("restored", "name")))
-    names = named.select("shown").where("shown is not null").distinct().withColumn("p", parse_names("shown")).select("shown", "p.*")
-    return (
-        named.join(names, "shown")
-        .where("base is not null")
-        .select("table_name", "row_id", "base", "sound", "quals", "country", "state", F.coalesce("fuel", "name_fuel").alias("fuel"), "latitude", "longitude")
-    )
 
+def parse_rows(rows: DataFrame) -> DataFrame:
+    """(row_id, combo, and what is compared): each distinct name is parsed once.
 
-def block_spellings(rows: DataFrame) -> DataFrame:
-    """(sound, quals, block): spellings one edit apart, with equal qualifiers, share the block of the most frequent one."""
-    spellings = rows.groupBy("sound", "quals").agg(F.count("*").alias("n"))
-    shorter = spellings.where(F.length("sound") >= 5).withColumn("part", F.explode(deletions("sound")))
+    ``rows`` also has ``restored`` (the original of a garbled name) and
+    ``garbled``. Where an original is unknown, an earlier match of the row
+    (``hint``) that agrees in the letters that are left stands in for it.
+    """
+    lost = F.coalesce(F.col("garbled"), F.lit(False)) & F.col("restored").isNull() & F.col("hint").isNotNull()
+    named = rows.withColumn("shown", F.when(lost, stand_in("name", "hint")).otherwise(F.coalesce("restored", "name")))
+    lat, lon = F.col("latitude"), F.col("longitude")
+    known = lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon) & ~((lat == 0) & (lon == 0))
+    fine = lambda c: F.when(known, F.round(c, 2))
+    parsed = named.where("shown is not null").withColumn("p", parse_names("shown")).where("p.base is not null")
+    flat = parsed.select("table_name", "row_id", "p.base", "p.sound", "p.quals", "country", "state", F.coalesce("fuel", "p.name_fuel").alias("fuel"), fine(lat).alias("la"), fine(lon).alias("lo"))
+    return flat.withColumn("combo", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in COMPARED]))
+
+
+def block_spellings(combos: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Adds ``block``: spellings one edit apart, with equal qualifiers, share the block of the most frequent one."""
+    parts = (
+        combos.groupBy("sound", "quals")
+        .agg(F.sum("n").alias("n"))
+        .where(F.length("sound") >= 5)
+        .withColumn("part", F.explode(deletions("sound")))
+    )
     rank = lambda s: F.struct(F.col(f"{s}.n"), F.col(f"{s}.sound"))
-    better = (
-        shorter.alias("a")
-        .join(shorter.alias("b"), (F.col("a.part") == F.col("b.part")) & (F.col("a.quals") == F.col("b.quals")) & (rank("a") < rank("b")))
-        .select(F.col("a.sound").alias("sound"), F.col("a.quals").alias("quals"), F.col("b.sound").alias("other"), F.col("b.n").alias("n"))
-        .distinct()
+    up = cut(
+        parts.alias("a")
+        .join(parts.alias("b"), (F.col("a.part") == F.col("b.part")) & (F.col("a.quals") == F.col("b.quals")) & (rank("a") < rank("b")))
+        .groupBy(F.col("a.sound").alias("sound"), F.col("a.quals").alias("quals"), F.col("b.sound").alias("other"))
+        .agg(F.max("b.n").alias("n"))
         .where(within_one_edit("sound", "other"))
         .groupBy("sound", "quals")
         .agg(F.max_by("other", F.struct("n", "other")).alias("up"))
     )
     # two steps reach the frequent spelling also from a spelling of a spelling
-    twice = better.alias("x").join(better.alias("y"), (F.col("x.up") == F.col("y.sound")) & (F.col("x.quals") == F.col("y.quals")), "left").select(
-        "x.sound", "x.quals", F.coalesce("y.up", "x.up").alias("up")
-    )
-    return spellings.join(twice, ["sound", "quals"], "left").select("sound", "quals", F.concat_ws(" ", F.coalesce("up", "sound"), F.nullif("quals", F.lit(""))).alias("block"))
+    twice = up.select("sound", "quals", "up").join(up.select(F.col("sound").alias("up"), "quals", F.col("up").alias("top")), ["up", "quals"], "left")
+    named = twice.select("sound", "quals", F.coalesce("top", "up").alias("up"))
+    return combos.join(named, ["sound", "quals"], "left").withColumn("block", F.concat_ws(" ", F.coalesce("up", "sound"), F.nullif("quals", F.lit("")))).drop("up")
 
 
-def rejoin_lonely(rows: DataFrame) -> DataFrame:
-    """Rows whose block only one table knows join the block of a like spelling (two edits, lost signs) at the same site."""
-    fine = lambda c: F.floor(F.col(c) * 20).cast("int")
-    points = rows.where("latitude is not null and not isnan(latitude) and not isnan(longitude)").groupBy("block", "sound", "quals", F.round("latitude", 2).alias("la"), F.round("longitude", 2).alias("lo")).agg(F.count("*").alias("n"))
-    tables = rows.groupBy("block").agg(F.count_distinct("table_name").alias("tables"))
-    cells = points.withColumn("ca", fine("la")).withColumn("co", fine("lo"))
+def rejoin_lonely(combos: DataFrame) -> DataFrame:
+    """Combinations whose block only one table knows join the block of a like spelling (two edits, lost signs) at the same site."""
+    tables = combos.groupBy("block").agg((F.min("table_name") == F.max("table_name")).alias("lonely"))
+    cell = lambda c: F.floor(F.col(c) * 20).cast("int")
+    points = combos.where("la is not null").join(tables, "block").groupBy("block", "sound", "quals", "la", "lo", "lonely").agg(F.sum("n").alias("n")).withColumn("ca", cell("la")).withColumn("co", cell("lo"))
     steps = F.explode(F.array(*[F.struct(F.lit(i).alias("da"), F.lit(j).alias("do")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    lonely = cells.join(tables.where("tables = 1"), "block").withColumn("d", steps).withColumn("ca", F.col("ca") + F.col("d.da")).withColumn("co", F.col("co") + F.col("d.do"))
-    rank = lambda s: F.struct(F.col(f"{s}.tables"), F.col(f"{s}.n"), F.col(f"{s}.block"))
+    lonely = points.where("lonely").withColumn("d", steps).withColumn("ca", F.col("ca") + F.col("d.da")).withColumn("co", F.col("co") + F.col("d.do"))
+    rank = lambda s: F.struct(~F.col(f"{s}.lonely"), F.col(f"{s}.n"), F.col(f"{s}.block"))
     moved = (
         lonely.alias("x")
-        .join(cells.join(tables, "block").alias("y"), ["ca", "co", "quals"])
+        .join(points.alias("y"), ["ca", "co", "quals"])
         .where((F.col("x.block") != F.col("y.block")) & (rank("y") > rank("x")) & (F.abs(F.col("x.la") - F.col("y.la")) < 0.03) & (F.abs(F.col("x.lo") - F.col("y.lo")) < 0.03))
         .select(F.col("x.block").alias("block"), F.col("x.sound").alias("s"), F.col("y.sound").alias("t"), F.col("y.block").alias("new"), F.col("y.n").alias("n"))
         .where(look_alike("s", "t"))
         .groupBy("block")
         .agg(F.max_by("new", F.struct("n", "new")).alias("new"))
     )
-    return rows.join(moved, "block", "left").withColumn("block", F.coalesce("new", "block")).drop("new")
-
-
-def _cell(c: Column) -> Column:
-    return F.round(c / CELL).cast("int")
-
-
-def locate(rows: DataFrame) -> DataFrame:
-    """Adds ``place`` (cluster of near coordinates within the block; null if unknown) to ``rows`` with ``block``.
-
-    Coordinates are counted per block and fine grid point first; the steps
-    after that see one row per point, not per input row.
-    """
-    lat, lon = F.col("latitude"), F.col("longitude")
-    swapped = (F.abs(lat) > 90) & lat.between(-180, 180) & lon.between(-90, 90)
-    rows = rows.select(*[c for c in rows.columns if c not in ("latitude", "longitude")], F.when(swapped, lon).otherwise(lat).alias("latitude"), F.when(swapped, lat).otherwise(lon).alias("longitude"))
-    known = lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon) & lat.between(-90, 90) & lon.between(-180, 180) & ~((lat == 0) & (lon == 0))
-    rows = rows.withColumn("la", F.when(known, F.round(lat, 2))).withColumn("lo", F.when(known, F.round(lon, 2)))
-    points = rows.where("la is not null").groupBy("block", "la", "lo").agg(F.count("*").alias("n"))
-    cells = points.groupBy("block", _cell(F.col("la")).alias("ca"), _cell(F.col("lo")).alias("co")).agg(F.sum("n").alias("n_cell"))
-    # each point as it stands and turned round; the support of a reading is what other points say
-    readings = points.withColumn(
-        "r",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("k"), F.col("la").alias("rla"), F.col("lo").alias("rlo")),
-                F.struct(F.lit(1).alias("k"), F.col("la").alias("rla"), (-F.col("lo")).alias("rlo")),
-                F.struct(F.lit(2).alias("k"), (-F.col("la")).alias("rla"), F.col("lo").alias("rlo")),
-                F.struct(F.lit(3).alias("k"), (-F.col("la")).alias("rla"), (-F.col("lo")).alias("rlo")),
-                F.struct(F.lit(4).alias("k"), F.col("lo").alias("rla"), F.col("la").alias("rlo")),
-            )
-        ),
-    ).select("block", "la", "lo", "n", "r.*")
-    supported = readings.withColumn("ca", _cell(F.col("rla"))).withColumn("co", _cell(F.col("rlo"))).join(cells, ["block", "ca", "co"], "left")
-    support = F.coalesce("n_cell", F.lit(0)) - F.when(F.col("k") == 0, F.col("n")).otherwise(0)
-    # a turned reading wins only over a place that fewer rows tell of; between two lonely ones the lesser cell turns
-    own = F.max(F.when(F.col("k") == 0, F.struct(F.col("n_cell").alias("m"), "ca", "co"))).over(Window.partitionBy("block", "la", "lo"))
-    stronger = (F.col("k") == 0) | (F.struct(F.coalesce("n_cell", F.lit(0)).alias("m"), "ca", "co") > F.col("own"))
-    supported = supported.withColumn("own", own).where(stronger)
-    # as it stands if anyone agrees with it or nobody with a turned reading
-    best = supported.groupBy("block", "la", "lo").agg(
-        F.max(F.struct(F.when((F.col("k") == 0) & (support > 0), 2).when(support > 0, 1).otherwise(0).alias("s"), support.alias("m"), (-F.col("k")).alias("k"), "rla", "rlo", F.col("n").alias("n"))).alias("b")
-    )
-    read = best.select("block", "la", "lo", F.when(F.col("b.s") > 0, F.col("b.rla")).otherwise(F.col("la")).alias("rla"), F.when(F.col("b.s") > 0, F.col("b.rlo")).otherwise(F.col("lo")).alias("rlo"), F.col("b.n").alias("n"))
-    # cells of a place touch; its name is the least of the cells next to each other
-    centre = (
-        read.withColumn("ca", _cell(F.col("rla")))
-        .withColumn("co", _cell(F.col("rlo")))
-        .groupBy("block", "ca", "co")
-        .agg(F.sum("n").alias("n"), F.avg("rla").alias("cla"), F.avg("rlo").alias("clo"))
-    )
-    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("da"), F.lit(j).alias("do")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    around = centre.withColumn("d", steps).select("block", (F.col("ca") + F.col("d.da")).alias("ca"), (F.col("co") + F.col("d.do")).alias("co"), F.struct("ca", "co").alias("from"), F.col("cla").alias("fla"), F.col("clo").alias("flo"))
-    places = (
-        centre.join(around, ["block", "ca", "co"])
-        .where((F.abs(F.col("cla") - F.col("fla")) < 3 * NEAR) & (F.abs(F.col("clo") - F.col("flo")) < 3 * NEAR))
-        .groupBy("block", "ca", "co")
-        .agg(F.min("from").alias("least"))
-        .select("block", "ca", "co", F.concat_ws("/", F.col("least.ca"), F.col("least.co")).alias("place"))
-    )
-    placed = read.withColumn("ca", _cell(F.col("rla"))).withColumn("co", _cell(F.col("rlo"))).join(places, ["block", "ca", "co"]).select("block", "la", "lo", "place", "rla", "rlo")
-    return rows.join(placed, ["block", "la", "lo"], "left").drop("latitude", "longitude", "la", "lo")
-
+    return combos.join(moved, "block", "left").withColumn("block", F.coalesce("new", "block")).drop("new")
 
-def _most(c: str) -> Column:
-    return F.mode(F.col(c), deterministic=True)
 
-
-def attach_unplaced(rows: DataFrame) -> DataFrame:
-    """Adds ``mention``: the place, or for rows without one the table's only fitting place of the block, else what they say.
-
-    A row fits a place of its table if no known attribute contradicts it; of
-    several fitting places the one with more agreeing attributes, then with
-    more rows, is taken.
-    """
-    sites = rows.where("place is not null").groupBy("table_name", "block", "place").agg(_most("state").alias("s"), _most("fuel").alias("f"), _most("country").alias("c"), F.count("*").alias("n"))
-    unplaced = rows.where("place is null").groupBy("table_name", "block", "country", "state", "fuel").agg(F.count("*").alias("k"))
-    agree = lambda a, b: F.coalesce((F.col(a) == F.col(b)).cast("int"), F.lit(0))
-    clash = lambda a, b: F.coalesce(F.col(a) != F.col(b), F.lit(False))
-    fits = (
-        unplaced.join(sites, ["table_name", "block"])
-        .where(~clash("state", "s") & ~clash("country", "c") & ~clash("fuel", "f"))
-        .groupBy("table_name", "block", "country", "state", "fuel")
-        .agg(F.max(F.struct((2 * agree("state", "s") + agree("fuel", "f")).alias("score"), "n", "place")).alias("best"))
-        .select("table_name", "block", F.col("country").alias("c_"), F.col("state").alias("s_"), F.col("fuel").alias("f_"), F.col("best.place").alias("fit"))
-    )
-    # without any place: rows of a block with the same state are one mention; rows without one join the state with most rows
-    spoken = unplaced.where("state is not null").groupBy("table_name", "block", "state").agg(F.sum("k").alias("k")).groupBy("table_name", "block").agg(F.max_by("state", F.struct("k", "state")).alias("said"))
-    return (
-        rows.alias("r")
-        .join(
-            fits.alias("f"),
-            F.col("r.place").isNull() & (F.col("r.table_name") == F.col("f.table_name")) & (F.col("r.block") == F.col("f.block")) & F.col("r.country").eqNullSafe(F.col("c_")) & F.col("r.state").eqNullSafe(F.col("s_")) & F.col("r.fuel").eqNullSafe(F.col("f_")),
-            "left",
-        )
-        .select("r.*", F.coalesce("r.place", "fit").alias("site"))
-        .join(spoken, ["table_name", "block"], "left")
-        .withColumn("mention", F.coalesce("site", F.concat(F.lit("?"), F.coalesce("state", "said", F.lit("")))))
-        .drop("said")
-    )
-
-
-def mentions(rows: DataFrame) -> DataFrame:
-    """One row per table, block and mention, with what most of its rows say."""
-    return (
-        rows.groupBy("table_name", "block", "mention")
-        .agg(
-            F.first("site", ignorenulls=True).alias("site"), _most("country").alias("country"), _most("state").alias("state"), _most("fuel").alias("fuel"), _most("base").alias("base"),
-            F.avg("rla").alias("la"), F.avg("rlo").alias("lo"), F.count("*").alias("n_rows"),
-        )
-        .withColumn("id", F.xxhash64("table_name", "block", "mention"))
-    )
-
-
-def candidate_pairs(m: DataFrame) -> DataFrame:
-    """(a, b, table_a, table_b, odds): mentions of different tables that may be the same plant.
-
-    Placed mentions meet in their own or an adjoining cell, or by block and
-    state (one of them misplaced); unplaced ones meet all of their block.
-    """
-    placed, unplaced = m.where("site is not null"), m.where("site is null")
-    cell = [_cell(F.col("la")).alias("ca"), _cell(F.col("lo")).alias("co")]
-    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("da"), F.lit(j).alias("do")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    left = placed.select("*", *cell)
-    right = placed.select("*", *cell).withColumn("d", steps).withColumn("ca", F.col("ca") + F.col("d.da")).withColumn("co", F.col("co") + F.col("d.do")).drop("d")
-
-    def paired(x: DataFrame, y: DataFrame, keys: list[str]) -> DataFrame:
-        on = F.col("x.table_name") < F.col("y.table_name")
-        for k in keys:
-            on &= F.col(f"x.{k}") == F.col(f"y.{k}")
-        cols = ["id", "table_name", "country", "state", "fuel", "base", "la", "lo", "n_rows"]
-        return x.alias("x").join(y.alias("y"), on).select(*[F.col(f"x.{c}").alias(f"{c}_a") for c in cols], *[F.col(f"y.{c}").alias(f"{c}_b") for c in cols])
-
-    pairs = (
-        paired(left, right, ["block", "ca", "co"])
-        .unionByName(paired(placed, placed, ["block", "state"]))
-        .unionByName(paired(placed, unplaced, ["block"]))
-        .unionByName(paired(unplaced, m, ["block"]))
-        .dropDuplicates(["id_a", "id_b"])
-    )
-    same = lambda c, yes, no: F.when(F.col(f"{c}_a").isNull() | F.col(f"{c}_b").isNull(), 0.0).when(F.col(f"{c}_a") == F.col(f"{c}_b"), ODDS[yes]).otherwise(ODDS[no])
-    away = F.greatest(F.abs(F.col("la_a") - F.col("la_b")), F.abs(F.col("lo_a") - F.col("lo_b")) * F.cos(F.radians("la_a")))
-    log_odds = (
-        F.lit(PRIOR)
-        + same("country", "country", "other_country")
-        + same("state", "state", "other_state")
-        + same("fuel", "fuel", "other_fuel")
-        + same("base", "spelling", "other_spelling")
-        + F.when(away.isNull(), 0.0).when(away <= NEAR, ODDS["near"]).when(away > 3 * NEAR, ODDS["far"]).otherwise(0.0)
-    )
-    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.col("table_name_a").alias("table_a"), F.col("table_name_b").alias("table_b"), F.exp(log_odds).alias("odds"))
+# -- one block ----------------------------------------------------------------
+
+
+class _Place:
+    __slots__ = ("la", "lo", "n", "into", "key")
+
+    def __init__(self, la: float, lo: float, n: int):
+        self.la, self.lo, self.n, self.into, self.key = la, lo, n, None, (la, lo)
+
+
+class _Map:
+    """Places found again by their coordinates."""
+
+    def __init__(self) -> None:
+        self.cells: dict[tuple[int, int], list[_Place]] = defaultdict(list)
+
+    def add(self, p: _Place) -> None:
+        self.cells[math.floor(p.la / FAR), math.floor(p.lo / FAR)].append(p)
+
+    def near(self, la: float, lo: float) -> list[_Place]:
+        a, o = math.floor(la / FAR), math.floor(lo / FAR)
+        return [p for i in (-1, 0, 1) for j in (-1, 0, 1) for p in self.cells.get((a + i, o + j), ()) if abs(p.la - la) <= NEAR and abs(p.lo - lo) <= NEAR / max(0.1, math.cos(math.radians(la)))]
+
+
+def _places(points: Counter) -> dict[tuple[float, float], _Place]:
+    """The place of each map point; lonely mirrored or swapped points belong to the place they mirror."""
+    at, found = _Map(), {}
+    places: list[_Place] = []
+    for (la, lo), n in sorted(points.items(), key=lambda x: (-x[1], x[0])):
+        x, y = (lo, la) if abs(la) > 90 >= abs(lo) else (la, lo)
+        if abs(x) > 90 or abs(y) > 180:
+            continue
+        hits = at.near(x, y)
+        if hits:
+            p = max(hits, key=lambda q: q.n)
+            p.n += n
+        else:
+            p = _Place(x, y, n)
+            at.add(p)
+            places.append(p)
+        found[la, lo] = p
+    for p in sorted(places, key=lambda q: (q.n, q.key)):
+        turned = [q for x, y in ((p.la, -p.lo), (-p.la, p.lo), (-p.la, -p.lo), (p.lo, p.la)) if abs(x) <= 90 for q in at.near(x, y) if q is not p and q.into is None and (q.n, q.key) > (p.n, p.key)]
+        if turned:
+            p.into = max(turned, key=lambda q: (q.n, q.key))
+            p.into.n += p.n
+    for k, p in found.items():
+        while p.into is not None:
+            p = p.into
+        found[k] = p
+    return found
+
+
+def _common(counts: Counter) -> str | None:
+    known = {k: v for k, v in counts.items() if k is not None}
+    return min(known, key=lambda k: (-known[k], k)) if known else None
+
+
+class _Mention:
+    __slots__ = ("table", "key", "place", "says", "n")
+
+    def __init__(self, table: str, key: str, place: _Place | None):
+        self.table, self.key, self.place, self.n = table, key, place, 0
+        self.says = {c: Counter() for c in ("country", "state", "fuel", "base")}
+
+    def hear(self, row: dict) -> None:
+        self.n += row["n"]
+        for c, counts in self.says.items():
+            counts[row[c]] += row["n"]
+
+    def common(self, c: str) -> str | None:
+        return _common(self.says[c])
+
+
+def _clash(a: str | None, b: str | None) -> bool:
+    return a is not None and b is not None and a != b
+
+
+def _same(a: str | None, b: str | None) -> bool:
+    return a is not None and a == b
+
+
+def judge_block(block: str, rows: list[dict]) -> tuple[list[tuple[int, str]], list[tuple[str, str, str, str, float]]]:
+    """([(combo, mention)], [(mention, mention, table, table, odds)]) of a block's combinations."""
+    points: Counter = Counter()
+    for r in rows:
+        if r["la"] is not None:
+            points[r["la"], r["lo"]] += r["n"]
+    place_of = _places(points)
+    mentions: dict[tuple[str, str], _Mention] = {}
+    members: list[tuple[int, str]] = []
+    loose: dict[str, list[dict]] = defaultdict(list)
+    for r in rows:
+        p = place_of.get((r["la"], r["lo"])) if r["la"] is not None else None
+        if p is None:
+            loose[r["table_name"]].append(r)
+            continue
+        m = mentions.setdefault((r["table_name"], f"{p.la:g}/{p.lo:g}"), _Mention(r["table_name"], f"{p.la:g}/{p.lo:g}", p))
+        m.hear(r)
+        members.append((r["combo"], m.key))
+    placed: dict[str, list[tuple[_Mention, dict]]] = defaultdict(list)
+    for m in mentions.values():
+        placed[m.table].append((m, {c: m.common(c) for c in ("country", "state", "fuel")}))
+    # rows without a place join their table's fitting place, else those of the same region, else one another
+    for table, rs in loose.items():
+        left = []
+        for r in rs:
+            fits = [(2 * _same(r["state"], says["state"]) + _same(r["fuel"], says["fuel"]), m.n, m.key, m) for m, says in placed[table] if not any(_clash(r[c], says[c]) for c in says)]
+            if fits:
+                best = max(fits, key=lambda x: x[:3])[3]
+                members.append((r["combo"], best.key))
+            else:
+                left.append(r)
+        states: Counter = Counter()
+        for r in left:
+            states[r["state"]] += r["n"]
+        said = _common(states) or ""
+        for r in left:
+            key = "?" + (r["state"] or said)
+            m = mentions.setdefault((table, key), _Mention(table, key, None))
+            m.hear(r)
+            members.append((r["combo"], key))
+    # candidate pairs
+    ms = list(mentions.values())
+    says = {id(m): {c: m.common(c) for c in m.says} for m in ms}
+    at, of_place, of_state = _Map(), defaultdict(list), defaultdict(list)
+    for m in ms:
+        if m.place is not None:
+            if id(m.place) not in of_place:
+                at.add(m.place)
+            of_place[id(m.place)].append(m)
+            if says[id(m)]["state"] is not None:
+                of_state[says[id(m)]["state"]].append(m)
+    pairs = []
+    for m in ms:
+        if m.place is None:
+            others = ms
+        else:
+            others = [x for p in at.near(m.place.la, m.place.lo) for x in of_place[id(p)]] + of_state.get(says[id(m)]["state"], [])
+        for x in {id(o): o for o in others}.values():
+            if x.table == m.table or (x.table < m.table and (m.place is None) == (x.place is None)) or (m.place is not None and x.place is None):
+                continue
+            a, b = (m, x) if m.table < x.table else (x, m)
+            pairs.append((f"{block}@{a.key}", f"{block}@{b.key}", a.table, b.table, _odds(a, b, says[id(a)], says[id(b)])))
+    return members, pairs
+
+
+def _odds(a: _Mention, b: _Mention, x: dict, y: dict) -> float:
+    total = PRIOR
+    for c in ("country", "state", "fuel", "base"):
+        if x[c] is not None and y[c] is not None:
+            total += ODDS[c] if x[c] == y[c] else ODDS[f"other_{c}"]
+    if a.place is not None and b.place is not None:
+        away = max(abs(a.place.la - b.place.la), abs(a.place.lo - b.place.lo) * math.cos(math.radians(a.place.la)))
+        total += ODDS["near"] if away <= NEAR else ODDS["far"] if away > FAR else 0.0
+    return math.exp(total)
+
+
+_S, _L = T.StringType(), T.LongType()
+_JUDGED = T.StructType(
+    [
+        T.StructField("members", T.ArrayType(T.StructType([T.StructField("combo", _L), T.StructField("mention", _S)]))),
+        T.StructField("pairs", T.ArrayType(T.StructType([T.StructField(n, _S) for n in ("a", "b", "table_a", "table_b")] + [T.StructField("odds", T.DoubleType())]))),
+    ]
+)
+
+
+@F.pandas_udf(_JUDGED)
+def _judge(blocks: pd.Series, combos: pd.Series) -> pd.DataFrame:
+    clean = lambda v: None if isinstance(v, float) and math.isnan(v) else v
+    out = [judge_block(b, [{k: clean(v) for k, v in r.items()} for r in rows]) for b, rows in zip(blocks, combos)]
+    names = ("a", "b", "table_a", "table_b", "odds")
+    return pd.DataFrame({"members": [[{"combo": c, "mention": f"{b}@{m}"} for c, m in ms] for b, (ms, _) in zip(blocks, out)], "pairs": [[dict(zip(names, p)) for p in ps] for _, ps in out]})
+
+
+# -- belief propagation --------------------------------------------------------
 
 
 def propagate(pairs: DataFrame, cut: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS, still: float = STILL) -> DataFrame:
@@ -308,48 +343,54 @@ def propagate(pairs: DataFrame, cut: Callable[[DataFrame], DataFrame], rounds: i
     damping, until no message moves by more than ``still``. Pairs without a
     competitor have messages of 1 at once and take no part.
     """
-    pairs = cut(pairs)
-    deg_a = pairs.groupBy("a", "table_b").agg(F.count("*").alias("deg_a"))
-    deg_b = pairs.groupBy("b", "table_a").agg(F.count("*").alias("deg_b"))
-    degrees = pairs.join(deg_a, ["a", "table_b"]).join(deg_b, ["b", "table_a"])
-    alone = degrees.where("deg_a = 1 and deg_b = 1").select("a", "b", (F.col("odds") / (1 + F.col("odds"))).alias("marginal"))
-    state = cut(degrees.where("deg_a > 1 or deg_b > 1").select("a", "b", "table_a", "table_b", "odds", F.lit(1.0).alias("from_a"), F.lit(1.0).alias("from_b")))
-    if state.isEmpty():
-        return alone
-
-    def free(s: DataFrame, node: str, other: str, incoming: str, out: str) -> DataFrame:
-        sums = s.groupBy(node, other).agg(F.sum(F.col("odds") * F.col(incoming)).alias("total"))
+
+    def sums(s: DataFrame, node: str, incoming: str) -> DataFrame:
+        own, other = (["a", "table_a"], "table_b") if node == "a" else (["b", "table_b"], "table_a")
+        return s.groupBy(*own, other).agg(F.sum(F.col("odds") * F.col(incoming)).alias("total"), F.count("*").alias("k"))
+
+    first = pairs.withColumn("from_a", F.lit(1.0)).withColumn("from_b", F.lit(1.0))
+    keys = ["table_a", "table_b"]
+    ka = sums(first, "a", "from_b").select("a", *keys, F.col("k").alias("ka"))
+    kb = sums(first, "b", "from_a").select("b", *keys, F.col("k").alias("kb"))
+    state = cut(first.join(ka, ["a", *keys]).join(kb, ["b", *keys]).withColumn("alone", (F.col("ka") == 1) & (F.col("kb") == 1)).drop("ka", "kb"))
+    alone = state.where("alone").select("a", "b", *keys, (F.col("odds") / (1 + F.col("odds"))).alias("marginal"))
+    state = state.where("not alone").drop("alone")
+
+    def free(s: DataFrame, node: str, incoming: str, out: str) -> DataFrame:
         rest = F.greatest(F.col("total") - F.col("odds") * F.col(incoming), F.lit(0.0))
-        return s.join(sums, [node, other]).withColumn(out, DAMPING * F.col(out) + (1 - DAMPING) / (1 + rest)).drop("total")
+        return s.join(sums(s, node, incoming).drop("k"), [node, *keys]).withColumn(out, DAMPING * F.col(out) + (1 - DAMPING) / (1 + rest)).drop("total")
 
     for _ in range(rounds):
-        s = state.withColumn("old_a", F.col("from_a")).withColumn("old_b", F.col("from_b"))
-        s = free(s, "a", "table_b", "from_b", "from_a")
-        s = cut(free(s, "b", "table_a", "from_a", "from_b").withColumn("moved", F.greatest(F.abs(F.col("from_a") - F.col("old_a")), F.abs(F.col("from_b") - F.col("old_b")))).drop("old_a", "old_b"))
+        s = free(state.withColumn("old_a", F.col("from_a")).withColumn("old_b", F.col("from_b")), "a", "from_b", "from_a")
+        s = free(s, "b", "from_a", "from_b")
+        s = cut(s.withColumn("moved", F.greatest(F.abs(F.col("from_a") - F.col("old_a")), F.abs(F.col("from_b") - F.col("old_b")))).drop("old_a", "old_b"))
         state = s.drop("moved")
-        if s.agg(F.max("moved")).first()[0] <= still:
+        if (s.agg(F.max("moved")).first()[0] or 0.0) <= still:
             break
     belief = F.col("odds") * F.col("from_a") * F.col("from_b")
-    return alone.unionByName(state.select("a", "b", (belief / (1 + belief)).alias("marginal")))
+    return alone.unionByName(state.select("a", "b", *keys, (belief / (1 + belief)).alias("marginal")))
 
 
-def resolve(rows: DataFrame, repaired: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Rows of all tables with block, place and mention; see :func:`parse_rows` for ``repaired``."""
-    parsed = cut(parse_rows(rows, repaired))
-    blocked = parsed.join(block_spellings(parsed), ["sound", "quals"])
-    return cut(attach_unplaced(locate(cut(rejoin_lonely(cut(blocked))))))
+def resolve(rows: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): (table_name, row_id, mention) of all rows, and the candidate pairs of mentions; see :func:`parse_rows`."""
+    parsed = cut(parse_rows(rows))
+    combos = parsed.groupBy("combo", *COMPARED).agg(F.count("*").alias("n"))
+    blocked = cut(block_spellings(cut(combos), cut))
+    lists = rejoin_lonely(blocked).groupBy("block").agg(F.collect_list(F.struct("combo", "table_name", "base", "country", "state", "fuel", "la", "lo", "n")).alias("combos"))
+    judged = cut(lists.select(_judge("block", "combos").alias("j")).select("j.*"))
+    of_combo = judged.select(F.explode("members").alias("m")).select("m.*")
+    members = parsed.select("table_name", "row_id", "combo").join(of_combo, "combo").drop("combo")
+    return members, judged.select(F.explode("pairs").alias("p")).select("p.*")
 
 
-def match(rows: DataFrame, repaired: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def match(rows: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(id_a, id_b, confidence): row pairs of different tables that mean the same plant."""
-    resolved = resolve(rows, repaired, cut)
-    m = cut(mentions(resolved))
-    accepted = propagate(candidate_pairs(m), cut).where(F.col("marginal") >= ACCEPT)
-    members = resolved.select(F.xxhash64("table_name", "block", "mention").alias("id"), "row_id")
-    a, b = members.alias("a"), members.alias("b")
+    members, pairs = resolve(rows, cut)
+    accepted = propagate(pairs, cut).where(F.col("marginal") >= ACCEPT)
+    a = members.select(F.col("table_name").alias("table_a"), F.col("mention").alias("a"), F.col("row_id").alias("row_a"))
+    b = members.select(F.col("table_name").alias("table_b"), F.col("mention").alias("b"), F.col("row_id").alias("row_b"))
     return (
-        cut(accepted)
-        .join(a, F.col("a") == F.col("a.id"))
-        .join(b, F.col("b") == F.col("b.id"))
-        .select(F.least("a.row_id", "b.row_id").alias("id_a"), F.greatest("a.row_id", "b.row_id").alias("id_b"), F.col("marginal").alias("confidence"))
+        accepted.join(a, ["table_a", "a"])
+        .join(b, ["table_b", "b"])
+        .select(F.least("row_a", "row_b").alias("id_a"), F.greatest("row_a", "row_b").alias("id_b"), F.col("marginal").alias("confidence"))
     )

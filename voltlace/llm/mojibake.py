@@ -20,7 +20,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # (true encoding, encoding it was read in). Fixed values.
@@ -188,56 +188,52 @@ def word_table(names: DataFrame) -> DataFrame:
     return found.mapInPandas(traits, "word string, n long, key string, loud boolean, clean boolean, plain boolean")
 
 
-def garble_table(clean: DataFrame) -> DataFrame:
-    """(key, original, support): the garbled forms of every distinct clean word."""
+def garble_table(clean: DataFrame, df: dict[str, int]) -> DataFrame:
+    """(key, original, support, rarest): the garbled forms of every distinct clean word.
+
+    ``df`` tells in how many clean words a sign occurs; ``rarest`` is that of
+    the original's rarest sign.
+    """
 
     def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["key", "original", "support", "rarest"]
         for pdf in batches:
             for lo in range(0, len(pdf), 500):
-                part = pdf.iloc[lo : lo + 500]
-                keys, originals, support = [], [], []
-                for w, n in zip(part["original"], part["support"]):
-                    for k in garbled_forms(w):
-                        keys.append(k)
-                        originals.append(w)
-                        support.append(n)
-                yield pd.DataFrame({"key": keys, "original": originals, "support": support}, columns=["key", "original", "support"]).astype({"key": object, "original": object, "support": "int64"})
+                rows = [(k, w, n, rarest(w, df)) for w, n in zip(pdf["original"][lo : lo + 500], pdf["support"][lo : lo + 500]) for k in garbled_forms(w)]
+                yield pd.DataFrame(rows, columns=columns).astype({"key": object, "original": object, "support": "int64", "rarest": "int64"})
+
+    return clean.mapInPandas(forms, "key string, original string, support long, rarest long")
 
-    return clean.mapInPandas(forms, "key string, original string, support long")
 
+def rarest(word: str, df: dict[str, int]) -> int:
+    """In how many clean words the word's rarest sign beyond ASCII occurs; many for a word without one."""
+    return min((df.get(c, 1) for c in word.lower() if not c.isascii()), default=1 << 40)
 
-def find_garbled_words(words: DataFrame) -> DataFrame:
+
+def find_garbled_words(words: DataFrame, clean: DataFrame, df: dict[str, int]) -> DataFrame:
     """(word, original): damaged words; original is null where it cannot be told.
 
-    ``words`` is a written :func:`word_table`.
+    ``words`` is a :func:`word_table`, ``clean`` its clean words by key. Words
+    that show damage take the best supported original; quiet ones (all letters
+    sound) only one that has more support and no rarer signs, or signs far
+    more common.
     """
-    clean = (
-        words.where("clean")
-        .groupBy("key")
-        .agg(F.max_by("word", F.struct("n", "word")).alias("original"), F.sum("n").alias("support"))
-    )
-    # how common a word's rarest accented sign is among clean words, to tell sound words from quiet damage
-    signs = clean.where(F.col("original").rlike("[^\\x00-\\x7F]")).select(
-        "original", F.explode(F.array_distinct(F.expr("regexp_extract_all(lower(original), '[^\\\\x00-\\\\x7F]', 0)"))).alias("sign")
-    )
-    common = signs.groupBy("sign").agg(F.count("*").alias("df"))  # one row per letter of Unicode: bounded
-    rarest = signs.join(F.broadcast(common), "sign").groupBy("original").agg(F.min("df").alias("rarest"))
-    sound = clean.join(rarest, "original", "left")
-    table = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")).select("original", "support"))
-    suspects = words.where("loud or not plain").select("word", "key", "loud", "n")
-    own = sound.select("key", F.col("support").alias("own_support"), F.coalesce("rarest", F.lit(1 << 40)).alias("own_rarest"), F.lit(True).alias("own"))
-    hits = suspects.join(table, "key").join(sound.select("original", F.col("rarest").alias("rarest")), "original", "left")
-    best = hits.groupBy("word", "key", "loud").agg(
-        F.max(F.struct("support", F.coalesce("rarest", F.lit(0)).alias("rarest"), "original")).alias("best")
-    )
-    judged = best.join(own, "key", "left").where(
-        F.col("loud")
-        | F.col("own").isNull()
+
+    @F.pandas_udf("long")
+    def own_rarest(w: pd.Series) -> pd.Series:
+        return w.map(lambda x: rarest(x, df) if x is not None else 1 << 40).astype("int64")
+
+    forms = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")), df)
+    suspects = words.where("loud or not plain").select("word", "key", "loud")
+    own = clean.select("key", F.col("support").alias("own_support"), own_rarest("original").alias("own_rarest"))
+    hits = suspects.join(forms, "key", "left").groupBy("word", "key", "loud").agg(F.max(F.struct("support", "rarest", "original")).alias("best"))
+    judged = hits.join(own, "key", "left")
+    quiet = (
+        F.col("own_support").isNull()
         | (F.col("own_rarest") * 4 < F.col("best.rarest"))
         | ((F.col("best.support") >= 2 * F.col("own_support")) & (F.col("own_rarest") <= F.col("best.rarest")))
     )
-    restored = judged.select("word", F.col("best.original").alias("original"))
-    return words.where("loud").select("word").join(restored, "word", "full").select("word", "original")
+    return judged.where(F.col("loud") | (F.col("best.original").isNotNull() & quiet)).select("word", F.col("best.original").alias("original"))
 
 
 def undo_signs(word: str, inverse: list[dict[str, str]]) -> str | None:
@@ -276,44 +272,73 @@ def match_case(original: str, word: str) -> str:
     return original.lower() if word.islower() else original
 
 
-def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None) -> DataFrame:
-    """Damaged rows of ``rows(table_name, row_id, name)``: adds ``restored`` (null where a word's original is unknown).
+WORDS_AT_HAND = 200_000
+
+
+def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None, words_at_hand: int = WORDS_AT_HAND) -> DataFrame:
+    """Damaged rows of ``rows``: adds ``restored`` (null where a word's original is unknown).
 
-    ``corpus(name)`` are further names whose clean words may be originals.
-    ``cut`` writes a table once and reads it back.
+    ``rows`` has a name and any other columns. ``corpus(name)`` are further
+    names whose clean words may be originals. ``cut`` writes a table once and
+    reads it back. Damaged words are handed to the tasks if there are at most
+    ``words_at_hand`` of them (some 20 MB); else names are split, joined with
+    them and put together again.
     """
     cut = cut or (lambda df: df)
-    names = rows.where("name is not null").groupBy("name").agg(F.count("*").alias("n"))
     alln = rows.select("name") if corpus is None else rows.select("name").unionByName(corpus.select("name"))
-    counted = alln.where("name is not null").groupBy("name").agg(F.count("*").alias("n"))
-    words = cut(word_table(counted))
-    damaged = cut(find_garbled_words(words).where("word is not null"))
-    signs = [r[0] for r in words.where("clean and not plain").select(F.explode(F.split("word", "")).alias("c")).where("c > '\u007f'").distinct().collect()]
+    words = cut(word_table(alln.where("name is not null").groupBy("name").agg(F.count("*").alias("n"))))
+    clean = cut(words.where("clean").groupBy("key").agg(F.max_by("word", F.struct("n", "word")).alias("original"), F.sum("n").alias("support")))
+    # one row per letter of Unicode that occurs: bounded
+    df = {r[0]: r[1] for r in clean.select(F.explode(F.array_distinct(F.split(F.lower("original"), ""))).alias("c")).where("c > '\u007f'").groupBy("c").count().collect()}
+    signs = sorted({x for c in df for x in (c, c.upper()) if len(x) == 1})
+    damaged = cut(find_garbled_words(words, clean, df))
+
+    def mend(word: str, original: str | None, inverse: list) -> str | None:
+        return undo_signs(word, inverse) if original is None else match_case(original, word)
+
+    n_damaged = damaged.count()
+    if n_damaged <= words_at_hand:
+        inverse = inverse_tables(signs)
+        table = {w: mend(w, o, inverse) for w, o in damaged.collect()}
+        sent = rows.sparkSession.sparkContext.broadcast(table)
+
+        def whole(name: str) -> tuple[bool, str | None]:
+            parts = split_name(name)
+            hits = [w in sent.value for w in parts[::2]]
+            if not any(hits):
+                return False, None
+            fixed = [sent.value[w] if h else w for w, h in zip(parts[::2], hits)]
+            if None in fixed:
+                return True, None
+            parts[::2] = fixed
+            return True, "".join(parts)
+
+        @F.pandas_udf("struct<garbled boolean, restored string>")
+        def judge(names: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([whole(x) if x is not None else (False, None) for x in names], columns=["garbled", "restored"])
+
+        return rows.withColumn("__r", judge("name")).where("__r.garbled").select(*rows.columns, F.col("__r.restored").alias("restored"))
 
     @F.pandas_udf("array<string>")
     def split(s: pd.Series) -> pd.Series:
         return s.map(split_name)
 
     @F.pandas_udf("string")
-    def mend(original: pd.Series, word: pd.Series) -> pd.Series:
-        inverse = inverse_tables(signs) if original.isna().any() else []
-        return pd.Series([undo_signs(w, inverse) if o is None else match_case(o, w) for o, w in zip(original, word)], dtype=object)
-
-    damaged = damaged.withColumn("original", mend("original", "word"))
-    parts = names.select("name", F.posexplode(split("name")).alias("i", "word"))
-    fixed = (
-        parts.join(damaged.withColumn("hit", F.lit(True)), "word", "left")
+    def mended(word: pd.Series, original: pd.Series) -> pd.Series:
+        inverse = inverse_tables(signs)
+        return pd.Series([mend(w, o, inverse) for w, o in zip(word, original)], dtype=object)
+
+    fixes = damaged.select("word", mended("word", "original").alias("original"), F.lit(True).alias("hit"))
+    names = rows.select("name").where("name is not null").distinct().select("name", F.posexplode(split("name")).alias("i", "word"))
+    put = (
+        names.join(fixes, "word", "left")
         .groupBy("name")
         .agg(
             F.max("hit").alias("hit"),
             F.max(F.col("hit") & F.col("original").isNull()).alias("lost"),
-            F.sort_array(F.collect_list(F.struct("i", "word", "original"))).alias("ws"),
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("original", "word").alias("w")))), lambda x: x["w"]), "").alias("all"),
         )
         .where("hit")
-        .select("name", F.coalesce("lost", F.lit(False)).alias("lost"), F.explode("ws").alias("w"))
-        .select("name", "lost", "w.i", F.coalesce("w.original", "w.word").alias("word"))
-        .groupBy("name", "lost")
-        .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), "").alias("restored"))
-        .select("name", F.when(~F.col("lost"), F.col("restored")).alias("restored"))
+        .select("name", F.when(~F.coalesce("lost", F.lit(False)), F.col("all")).alias("restored"))
     )
-    return rows.join(fixed, "name").select("table_name", "row_id", "name", "restored")
+    return rows.join(put, "name").select(*rows.columns, "restored")

@@ -77,15 +77,18 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _plant_rows(spark: SparkSession, d: str) -> DataFrame:
-    return (
+    """Rows of the three tables with the originals of garbled names."""
+    rows = (
         entity.gem_rows(table(spark, d, "gem_database"))
         .unionByName(entity.gppd_rows(table(spark, d, "gppd")))
         .unionByName(entity.crosswalk_rows(table(spark, d, "unified_plant_crosswalk")))
     )
+    fixed = cut(_garbled(spark, d).select("table_name", "row_id", "restored").withColumn("garbled", F.lit(True)))
+    return rows.join(fixed, ["table_name", "row_id"], "left")
 
 
 def p2_matches(spark: SparkSession, d: str) -> DataFrame:
-    return entity.match(_plant_rows(spark, d), _garbled(spark, d), cut)
+    return entity.match(_plant_rows(spark, d), cut)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -93,8 +96,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _unit_groups(spark: SparkSession, d: str) -> DataFrame:
-    resolved = entity.resolve(_plant_rows(spark, d), _garbled(spark, d), cut)
-    return survivor.unit_groups(table(spark, d, "gem_database"), resolved)
+    members, _ = entity.resolve(_plant_rows(spark, d), cut)
+    return survivor.unit_groups(table(spark, d, "gem_database"), members)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

@@ -28,12 +28,12 @@ from voltlace.llm.names import unit_keys
 LAST_RANK = 2**31 - 1
 
 
-def unit_groups(gem: DataFrame, resolved: DataFrame) -> DataFrame:
+def unit_groups(gem: DataFrame, members: DataFrame) -> DataFrame:
     """(gem_row_id, plant, unit): ``unit`` is equal for rows of the same unit.
 
-    ``resolved`` has (table_name, row_id, block, mention) for the rows of gem.
+    ``members`` has (table_name, row_id, mention) for the rows of gem.
     """
-    plants = resolved.where("table_name = 'gem_database'").select(F.col("row_id").alias("gem_row_id"), F.concat_ws("@", "block", "mention").alias("plant"))
+    plants = members.where("table_name = 'gem_database'").select(F.col("row_id").alias("gem_row_id"), F.col("mention").alias("plant"))
     rows = gem.select("gem_row_id", F.upper(F.trim("unit_id")).alias("unit_id"), "unit_name").join(plants, "gem_row_id")
     labels = rows.select("unit_name").where("unit_name is not null").distinct().withColumn("label", unit_keys("unit_name"))
     labelled = rows.join(labels, "unit_name", "left")
