@@ -269,15 +269,15 @@ def judge_block(block: str, rows: list[dict]) -> tuple[list[tuple[int, str]], li
                 members.append((r["combo"], best.key))
             else:
                 left.append(r)
-        states: Counter = Counter()
-        for r in left:
-            states[r["state"]] += r["n"]
-        said = _common(states) or ""
-        for r in left:
-            key = "?" + (r["state"] or said)
-            m = mentions.setdefault((table, key), _Mention(table, key, None))
+        # the fullest rows first, each to the first mention that nothing it says contradicts
+        apart: list[_Mention] = []
+        for r in sorted(left, key=lambda r: (-sum(r[c] is not None for c in ("country", "state", "fuel")), -r["n"], r["combo"])):
+            m = next((m for m in apart if not any(_clash(r[c], m.common(c)) for c in ("country", "state", "fuel"))), None)
+            if m is None:
+                m = mentions[table, f"?{len(apart)}"] = _Mention(table, f"?{len(apart)}", None)
+                apart.append(m)
             m.hear(r)
-            members.append((r["combo"], key))
+            members.append((r["combo"], m.key))
     # candidate pairs
     ms = list(mentions.values())
     says = {id(m): {c: m.common(c) for c in m.says} for m in ms}
