@@ -90,6 +90,8 @@ def one_script(word: str, latin_name: bool) -> str:
 
 def canonical(name: str) -> str:
     """The name in plain signs, composed, each word in one script."""
+    if name.isascii() and name.isprintable():
+        return name
     s = "".join(prototype(c) for c in unicodedata.normalize("NFC", name))
     s = unicodedata.normalize("NFC", s)
     parts = _BREAK.split(s)
@@ -105,6 +107,8 @@ def canonical(name: str) -> str:
 
 def skeleton(name: str) -> str:
     """Decompose, replace by prototypes, decompose again."""
+    if name.isascii() and name.isprintable():
+        return name
     s = "".join(prototype(c) for c in unicodedata.normalize("NFD", name))
     s = "".join(TO_LATIN.get(c, c) for c in unicodedata.normalize("NFD", s))
     return unicodedata.normalize("NFD", s)

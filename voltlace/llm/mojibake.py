@@ -223,7 +223,9 @@ def find_garbled_words(words: DataFrame, clean: DataFrame, df: dict[str, int]) -
     def own_rarest(w: pd.Series) -> pd.Series:
         return w.map(lambda x: rarest(x, df) if x is not None else 1 << 40).astype("int64")
 
-    forms = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")), df)
+    # garbling is heavy for its few rows: spread it over all cores, also where the table is one small file
+    cores = words.sparkSession.sparkContext.defaultParallelism
+    forms = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")).repartition(4 * cores), df)
     suspects = words.where("loud or not plain").select("word", "key", "loud")
     own = clean.select("key", F.col("support").alias("own_support"), own_rarest("original").alias("own_rarest"))
     hits = suspects.join(forms, "key", "left").groupBy("word", "key", "loud").agg(F.max(F.struct("support", "rarest", "original")).alias("best"))
@@ -267,7 +269,8 @@ def inverse_tables(signs: list[str]) -> list[dict[str, str]]:
 
 
 def match_case(original: str, word: str) -> str:
-    if word.isupper():
+    plain = [c for c in word if c.isascii() and c.isalpha()]
+    if word.isupper() or (len(plain) > 1 and all(c.isupper() for c in plain)):
         return original.upper()
     return original.lower() if word.islower() else original
 
@@ -303,6 +306,8 @@ def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None, wor
         sent = rows.sparkSession.sparkContext.broadcast(table)
 
         def whole(name: str) -> tuple[bool, str | None]:
+            if name.isascii() and not _ASCII_ODD.search(name):  # no word of it can be among the suspects
+                return False, None
             parts = split_name(name)
             hits = [w in sent.value for w in parts[::2]]
             if not any(hits):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ _TRANSLATE = str.maketrans(CYRILLIC | GREEK | KANA | _LETTERS)
 
 def fold(text: str) -> str:
     """Lower-case Latin letters without marks, whatever the script."""
+    if text.isascii():
+        return text.lower()
     s = re.sub("火力発電所|水力発電所|原子力発電所|発電所", " tps ", text)
     s = unicodedata.normalize("NFC", s).lower().translate(_TRANSLATE)
     s = "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
@@ -83,6 +86,7 @@ def alike(a: str, b: str) -> bool:
     return row[-1] <= 2
 
 
+@lru_cache(1 << 16)
 def is_type(word: str) -> bool:
     return word in TYPE_WORDS or "".join(sorted(word)) in _MIXED_TYPES or (len(word) >= 4 and word not in QUALIFIERS and any(abs(len(t) - len(word)) <= 1 and t[0] == word[0] and one_edit(word, t) for t in _LONG_TYPES))
 
@@ -111,6 +115,7 @@ def parse(name: str | None) -> tuple[str | None, str | None, str | None]:
     return kept[0], " ".join(map(qualifier, kept[1:])), fuel
 
 
+@lru_cache(1 << 16)
 def qualifier(word: str) -> str:
     """A word that tells namesakes apart, without a slip of the pen."""
     if word in ("ext", "extn"):
