@@ -1,7 +1,9 @@
 """Command line: build the resolved table, publish the products.
 
     spark-submit -m voltlace.cli build --units F --plants F --feeds F --lookup F --out DIR [--sources NPP EIA ...] [--no-llm] [--force] [--yes]
-    spark-submit -m voltlace.cli publish --tracker DIR --out DIR
+    spark-submit -m voltlace.cli products --tracker DIR --out DIR
+    spark-submit -m voltlace.cli publish --data DIR --out DIR [--schema-only | --data-only | --trial-only | --generators-only | --coal-only]
+    spark-submit -m voltlace.cli lookup --archives "DIR/*.zip" --out DIR
 """
 
 from __future__ import annotations
@@ -29,9 +31,18 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--no-llm", action="store_true")
     b.add_argument("--force", action="store_true", help="build anew although a result is there (without --sources)")
     b.add_argument("--yes", action="store_true", help="do not ask before the model is called")
-    q = sub.add_parser("publish")
+    q = sub.add_parser("products")
     q.add_argument("--tracker", required=True)
     q.add_argument("--out", required=True)
+    r = sub.add_parser("publish")
+    r.add_argument("--data", required=True)
+    r.add_argument("--out", required=True)
+    only = r.add_mutually_exclusive_group()
+    for part in ("schema", "data", "trial", "generators", "coal"):
+        only.add_argument(f"--{part}-only", action="store_true")
+    m = sub.add_parser("lookup")
+    m.add_argument("--archives", required=True)
+    m.add_argument("--out", required=True)
     return p
 
 
@@ -45,7 +56,7 @@ def build(spark: SparkSession, args: argparse.Namespace, ask=input) -> int:
     inputs = unified.Inputs(spark.read.parquet(args.feeds), spark.read.parquet(args.units), spark.read.parquet(args.plants), lookup)
     matcher = None if args.no_llm else matchers.OfflineMatcher
     if matcher is not None and not args.yes:
-        n = inputs.feeds.select(F.count_distinct("plant_name", "source_system")).first()[0]
+        n = inputs.feeds.select(F.count_distinct(F.coalesce("plant_name", "plant_code"), "source_system")).first()[0]
         price = spark.range(1).select(cost_estimate(F.lit(n))).first()[0]
         if ask(f"Up to {n} names go to the model, at most about {price:.2f} dollars. Go on? [y/N] ").strip().lower() != "y":
             matcher = None
@@ -64,10 +75,59 @@ def publish_products(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0 if all(ok) else 1
 
 
+# Schema scripts in the order they are run. Fixed values.
+SCHEMA_SCRIPTS = ("generation_tables.sql", "indexes.sql", "materialized_views.sql", "triggers.sql")
+
+
+def publish_tables(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Publishes from ``data``: unified.parquet, trial.parquet, generators.xlsx and units.parquet; what is missing is skipped."""
+    from pathlib import Path
+
+    from voltlace.sources.excel import read_excel
+
+    data = Path(args.data)
+    if not publish.alive(spark):
+        return 1
+
+    def of(name: str, job):
+        path = data / name
+        if not path.exists():
+            print(f"skipped: {path} is missing")
+            return 0
+        return job(str(path))
+
+    jobs = {
+        "unified": lambda: of("unified.parquet", lambda p: publish.publish_unified(spark.read.parquet(p), f"{args.out}/unified_plant_crosswalk")),
+        "generators": lambda: of("generators.xlsx", lambda p: publish.publish_generator_info(read_excel(spark, p, skip_rows=1), f"{args.out}/eia_generator_info")),
+        "coal": lambda: of("units.parquet", lambda p: publish.publish_coal_metadata(spark.read.parquet(p), f"{args.out}/gcpt_coal_metadata")),
+    }
+    trial = {"trial": lambda: of("trial.parquet", lambda p: publish.publish_trial(spark.read.parquet(p), f"{args.out}/npp_llm_test"))}
+    one = next((x for x in ("trial", "generators", "coal") if getattr(args, f"{x}_only")), None)
+    if one is not None:
+        print(publish.publish_all({one: {**jobs, **trial}[one]}))
+        return 0
+    if not args.data_only:
+        scripts = [data / "schema" / n for n in SCHEMA_SCRIPTS]
+        publish.run_ddl(spark, [p.read_text() if p.exists() else None for p in scripts])
+    if not args.schema_only:
+        print(publish.publish_all(jobs))
+    return 0
+
+
+def build_lookup(spark: SparkSession, args: argparse.Namespace) -> int:
+    from voltlace.sources import lookup
+
+    lookup.build_lookup(spark, args.archives, args.out)
+    return 0
+
+
+JOBS = {"build": build, "products": publish_products, "publish": publish_tables, "lookup": build_lookup}
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("voltlace").getOrCreate()
-    return build(spark, args) if args.job == "build" else publish_products(spark, args)
+    return JOBS[args.job](spark, args)
 
 
 if __name__ == "__main__":

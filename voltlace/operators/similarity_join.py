@@ -32,7 +32,8 @@ def top_matches(names: DataFrame, catalogue: DataFrame, k: int = 1, cutoff: floa
     spark = names.sparkSession
     queries = names.where("key <> ''").select("grp", "key").distinct().withColumn("sorted", token_sorted(F.col("key")))
     refs = catalogue.where("key is not null").select("grp", "name", F.col("ord").cast("long").alias("ord"), token_sorted(F.col("key")).alias("sorted"))
-    blocks = max(1, math.ceil(refs.count() / block))
+    whole = refs.limit(block + 1).toPandas()  # at most one name over a block
+    blocks = 1 if len(whole) <= block else math.ceil(refs.count() / block)
     schema = "grp string, key string, name string, ord long, score double"
 
     def search(part: pd.DataFrame):
@@ -58,7 +59,7 @@ def top_matches(names: DataFrame, catalogue: DataFrame, k: int = 1, cutoff: floa
 
     found = None
     for b in range(blocks):
-        part = refs.where(F.pmod(F.xxhash64("ord", "name"), F.lit(blocks)) == b).toPandas() if blocks > 1 else refs.toPandas()
+        part = refs.where(F.pmod(F.xxhash64("ord", "name"), F.lit(blocks)) == b).toPandas() if blocks > 1 else whole
         hits = queries.mapInPandas(search(part), schema)
         found = hits if found is None else found.unionAll(hits)
     order = Window.partitionBy("grp", "key").orderBy(F.desc("score"), "ord")

@@ -113,10 +113,11 @@ def gppd_info(spark, plants: DataFrame) -> DataFrame:
     return folded.withColumn("grp", F.substring_index("name", "\x01", 1)).withColumn("name", F.expr("substr(name, instr(name, '\x01') + 1)"))
 
 
-def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], k: int = 15) -> DataFrame:
+def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], names: dict[str, DataFrame] | None = None, k: int = 15) -> DataFrame:
     """(plant_name, source_system, candidates): the ``k`` best names of each catalogue, best first, one per line.
 
-    The feed in another script gets every name of its catalogues instead.
+    The feed in another script gets every name of its catalogues instead,
+    also those that share a key: ``names`` (grp, name, ord), each name once.
     """
     folded = X.per_distinct(plants.select("plant_name", "source_system").distinct(), "plant_name", {"folded": X.fold_diacritics(F.col("plant_name"))})
     lines = None
@@ -129,7 +130,7 @@ def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], k: int = 15
     line = F.struct((-F.col("score")).alias("s"), "o", "ord", X.candidate_line(F.col("label"), F.col("name"), F.col("score")).alias("text"))
     best = lines.groupBy("plant_name", "source_system").agg(F.array_join(F.transform(F.sort_array(F.collect_list(line)), lambda x: x["text"]), "\n").alias("candidates"))
     every = None
-    for o, (label, index) in enumerate(indexes.items()):
+    for o, (label, index) in enumerate((names or indexes).items()):
         part = index.where(F.col("grp") == ALL_CANDIDATES_FEED).select(F.lit(o).alias("o"), "ord", F.concat(F.lit(f"  {label}: "), "name").alias("text"))
         every = part if every is None else every.unionByName(part)
     whole = every.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o", "ord", "text"))), lambda x: x["text"]), "\n").alias("candidates")).withColumn("source_system", F.lit(ALL_CANDIDATES_FEED))
@@ -140,7 +141,7 @@ def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], k: int = 15
 
 def model_match(plants: DataFrame, indexes: dict[str, DataFrame], infos: dict[str, DataFrame], build: Callable[[], NameMatcher], cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows a language model matches; its replies are written once before they are used."""
-    replies = cut(run_matcher(candidate_text(plants, indexes), build))
+    replies = cut(run_matcher(candidate_text(plants, indexes, infos), build))
     good = replies.where(usable(F.col("match"), F.col("confidence"))).withColumn("m", X.clean_match(F.col("match")))
     answers = good.select("plant_name", "source_system", F.coalesce("m.source", "source").alias("source"), F.col("m.name").alias("name"), X.confidence_key(F.col("confidence")).alias("confidence"), "reasoning")
     holders = None

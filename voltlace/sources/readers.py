@@ -32,6 +32,10 @@ FEEDS: dict[str, tuple[str, str, tuple[str, ...]]] = {
 # -- places ------------------------------------------------------------------
 
 
+def package_root() -> Path:
+    return Path(__file__).resolve().parents[2]
+
+
 def data_dir(root: str | None = None) -> Path:
     return Path(root or os.environ.get("VOLTLACE_DATA", "data"))
 
