@@ -2,24 +2,48 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own_root: dict[str, str] = {}
+_cleaned: set[str] = set()
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder for cut lineage.
 
     Reads ``spark.checkpoint.dir`` from the session (a folder that all
     executors share). Only where it is unset - single-process tests - a
-    temporary folder is made and set.
+    temporary folder is made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="voltlace-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    app = spark.sparkContext.applicationId
+    if app not in _own_root:
+        _own_root[app] = "file://" + tempfile.mkdtemp(prefix="voltlace-ckpt-")
+    return _own_root[app]
+
+
+def _folder(spark: SparkSession) -> str:
+    """The application's part of the checkpoint folder; it is deleted when the driver's Python ends."""
+    path = f"{checkpoint_root(spark)}/voltlace/{spark.sparkContext.applicationId}"
+    if path not in _cleaned:
+        _cleaned.add(path)
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+        def clean() -> None:
+            try:
+                fs.delete(p, True)
+            except Exception:  # noqa: BLE001 - the JVM may be gone already
+                pass
+
+        atexit.register(clean)
+    return path
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -28,10 +52,9 @@ def cut(df: DataFrame) -> DataFrame:
     A written table survives the loss of executors and, unlike a persisted
     one, is never recomputed; later plans start from its file statistics.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/voltlace/{uuid.uuid4().hex}"
+    path = f"{_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
