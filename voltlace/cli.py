@@ -3,6 +3,7 @@
     spark-submit -m voltlace.cli build --units F --plants F --feeds F --lookup F --out DIR [--sources NPP EIA ...] [--no-llm] [--force] [--yes]
     spark-submit -m voltlace.cli products --tracker DIR --out DIR
     spark-submit -m voltlace.cli publish --data DIR --out DIR [--schema-only | --data-only | --trial-only | --generators-only | --coal-only]
+    spark-submit -m voltlace.cli drop-old
     spark-submit -m voltlace.cli lookup --archives "DIR/*.zip" --out DIR
 """
 
@@ -40,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     only = r.add_mutually_exclusive_group()
     for part in ("schema", "data", "trial", "generators", "coal"):
         only.add_argument(f"--{part}-only", action="store_true")
+    sub.add_parser("drop-old")
     m = sub.add_parser("lookup")
     m.add_argument("--archives", required=True)
     m.add_argument("--out", required=True)
@@ -75,8 +77,24 @@ def publish_products(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0 if all(ok) else 1
 
 
-# Schema scripts in the order they are run. Fixed values.
-SCHEMA_SCRIPTS = ("generation_tables.sql", "indexes.sql", "materialized_views.sql", "triggers.sql")
+# Schema scripts in the order they are run.
+SCHEMA_SCRIPTS = (
+    "extraction_metadata.sql",
+    "eia_generation.sql",
+    "eia_generator_info.sql",
+    "gcpt_coal_metadata.sql",
+    "entsoe_generation.sql",
+    "npp_generation.sql",
+    "ons_generation.sql",
+    "oe_generation.sql",
+    "oe_facility_generation.sql",
+    "occto_generation.sql",
+    "chile_generation.sql",
+    "materialized_views.sql",
+)
+# Superseded tables, dropped once the table that replaces them has rows.
+GUARD_TABLE = "plant_crosswalk"
+OLD_TABLES = ["plant_coordinates_eia", "plant_coordinates_entsoe", "plant_coordinates_npp", "gppd_global", "gcpt_global", "npp_gipt_crosswalk"]
 
 
 def publish_tables(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -121,7 +139,12 @@ def build_lookup(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
-JOBS = {"build": build, "products": publish_products, "publish": publish_tables, "lookup": build_lookup}
+def drop_old(spark: SparkSession, args: argparse.Namespace) -> int:
+    publish.guarded_drop(spark, GUARD_TABLE, OLD_TABLES)
+    return 0
+
+
+JOBS = {"drop-old": drop_old, "build": build, "products": publish_products, "publish": publish_tables, "lookup": build_lookup}
 
 
 def main(argv: list[str] | None = None) -> int:

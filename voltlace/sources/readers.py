@@ -126,6 +126,7 @@ TRACKER_COLUMNS = {
     "Project Name": "project_name", "Unit Name": "unit_name", "Country/Area": "country", "Subnational": "subnational", "Latitude": "latitude", "Longitude": "longitude",
     "Status": "status", "Capacity (MW)": "capacity_mw", "EIA plant + unit ID": "eia_plant_unit_id",
 }
+# File patterns in the order they are tried.
 TRACKER_PATTERNS = ("gcpt_global_*.csv", "gcpt_global_*.xlsx", "*GCPT_Database*.csv", "GCPT*.xlsx", "*EIA*GCPT*crosswalk*.xlsx")
 
 
