@@ -36,9 +36,10 @@ def test_repair(spark):
     names = SOUND * 2 + list(bad) + ["Nowhere", None, "", " "]
     rows = spark.createDataFrame([("t", i, n, 9) for i, n in enumerate(names)], "table_name string, row_id long, name string, restored_by long")
     for limit in (1000, 0):  # both ways to put names together again
-        got = M.repair_names(rows, None, cut, limit).collect()
+        got = M.repair_names(rows, None, cut, limit).where("garbled").collect()
         assert {r.name: r.restored for r in got} == bad, limit
         assert len(got) == len(bad) and "restored_by" in got[0].asDict()
+        assert M.repair_names(rows, None, cut, limit).count() == len(names)
     assert M.repair_names(rows.limit(0), None, cut).count() == 0
 
 

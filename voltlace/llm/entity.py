@@ -15,6 +15,8 @@ block is judged from its combinations - map points to a hundredth of a degree,
 regions, fuels - never from its rows; within it, mentions meet through map
 cells and regions, not all with all. Only pairs that compete with others take
 part in the message rounds. Every round's state is written to the shared folder.
+Joins are sort-merge joins by hint: sides that happen to be small would else be
+built into hash tables on the driver, a dozen at a time.
 
 Cases: rows without a usable name are matched to nothing; coordinates that are
 missing, out of range or (0, 0) count as unknown, mirrored or swapped ones are
@@ -123,7 +125,7 @@ def block_spellings(combos: DataFrame, cut: Callable[[DataFrame], DataFrame]) ->
     rank = lambda s: F.struct(F.col(f"{s}.n"), F.col(f"{s}.sound"))
     up = cut(
         parts.alias("a")
-        .join(parts.alias("b"), (F.col("a.part") == F.col("b.part")) & (F.col("a.quals") == F.col("b.quals")) & (rank("a") < rank("b")))
+        .join(parts.alias("b").hint("merge"), (F.col("a.part") == F.col("b.part")) & (F.col("a.quals") == F.col("b.quals")) & (rank("a") < rank("b")))
         .groupBy(F.col("a.sound").alias("sound"), F.col("a.quals").alias("quals"), F.col("b.sound").alias("other"))
         .agg(F.max("b.n").alias("n"))
         .where(within_one_edit("sound", "other"))
@@ -131,29 +133,29 @@ def block_spellings(combos: DataFrame, cut: Callable[[DataFrame], DataFrame]) ->
         .agg(F.max_by("other", F.struct("n", "other")).alias("up"))
     )
     # two steps reach the frequent spelling also from a spelling of a spelling
-    twice = up.select("sound", "quals", "up").join(up.select(F.col("sound").alias("up"), "quals", F.col("up").alias("top")), ["up", "quals"], "left")
+    twice = up.select("sound", "quals", "up").join(up.select(F.col("sound").alias("up"), "quals", F.col("up").alias("top")).hint("merge"), ["up", "quals"], "left")
     named = twice.select("sound", "quals", F.coalesce("top", "up").alias("up"))
-    return combos.join(named, ["sound", "quals"], "left").withColumn("block", F.concat_ws(" ", F.coalesce("up", "sound"), F.nullif("quals", F.lit("")))).drop("up")
+    return combos.join(named.hint("merge"), ["sound", "quals"], "left").withColumn("block", F.concat_ws(" ", F.coalesce("up", "sound"), F.nullif("quals", F.lit("")))).drop("up")
 
 
 def rejoin_lonely(combos: DataFrame) -> DataFrame:
     """Combinations whose block only one table knows join the block of a like spelling (two edits, lost signs) at the same site."""
     tables = combos.groupBy("block").agg((F.min("table_name") == F.max("table_name")).alias("lonely"))
     cell = lambda c: F.floor(F.col(c) * 20).cast("int")
-    points = combos.where("la is not null").join(tables, "block").groupBy("block", "sound", "quals", "la", "lo", "lonely").agg(F.sum("n").alias("n")).withColumn("ca", cell("la")).withColumn("co", cell("lo"))
+    points = combos.where("la is not null").join(tables.hint("merge"), "block").groupBy("block", "sound", "quals", "la", "lo", "lonely").agg(F.sum("n").alias("n")).withColumn("ca", cell("la")).withColumn("co", cell("lo"))
     steps = F.explode(F.array(*[F.struct(F.lit(i).alias("da"), F.lit(j).alias("do")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     lonely = points.where("lonely").withColumn("d", steps).withColumn("ca", F.col("ca") + F.col("d.da")).withColumn("co", F.col("co") + F.col("d.do"))
     rank = lambda s: F.struct(~F.col(f"{s}.lonely"), F.col(f"{s}.n"), F.col(f"{s}.block"))
     moved = (
         lonely.alias("x")
-        .join(points.alias("y"), ["ca", "co", "quals"])
+        .join(points.alias("y").hint("merge"), ["ca", "co", "quals"])
         .where((F.col("x.block") != F.col("y.block")) & (rank("y") > rank("x")) & (F.abs(F.col("x.la") - F.col("y.la")) < 0.03) & (F.abs(F.col("x.lo") - F.col("y.lo")) < 0.03))
         .select(F.col("x.block").alias("block"), F.col("x.sound").alias("s"), F.col("y.sound").alias("t"), F.col("y.block").alias("new"), F.col("y.n").alias("n"))
         .where(look_alike("s", "t"))
         .groupBy("block")
         .agg(F.max_by("new", F.struct("n", "new")).alias("new"))
     )
-    return combos.join(moved, "block", "left").withColumn("block", F.coalesce("new", "block")).drop("new")
+    return combos.join(moved.hint("merge"), "block", "left").withColumn("block", F.coalesce("new", "block")).drop("new")
 
 
 # -- one block ----------------------------------------------------------------
@@ -352,13 +354,13 @@ def propagate(pairs: DataFrame, cut: Callable[[DataFrame], DataFrame], rounds: i
     keys = ["table_a", "table_b"]
     ka = sums(first, "a", "from_b").select("a", *keys, F.col("k").alias("ka"))
     kb = sums(first, "b", "from_a").select("b", *keys, F.col("k").alias("kb"))
-    state = cut(first.join(ka, ["a", *keys]).join(kb, ["b", *keys]).withColumn("alone", (F.col("ka") == 1) & (F.col("kb") == 1)).drop("ka", "kb"))
+    state = cut(first.join(ka.hint("merge"), ["a", *keys]).join(kb.hint("merge"), ["b", *keys]).withColumn("alone", (F.col("ka") == 1) & (F.col("kb") == 1)).drop("ka", "kb"))
     alone = state.where("alone").select("a", "b", *keys, (F.col("odds") / (1 + F.col("odds"))).alias("marginal"))
     state = state.where("not alone").drop("alone")
 
     def free(s: DataFrame, node: str, incoming: str, out: str) -> DataFrame:
         rest = F.greatest(F.col("total") - F.col("odds") * F.col(incoming), F.lit(0.0))
-        return s.join(sums(s, node, incoming).drop("k"), [node, *keys]).withColumn(out, DAMPING * F.col(out) + (1 - DAMPING) / (1 + rest)).drop("total")
+        return s.join(sums(s, node, incoming).drop("k").hint("merge"), [node, *keys]).withColumn(out, DAMPING * F.col(out) + (1 - DAMPING) / (1 + rest)).drop("total")
 
     for _ in range(rounds):
         s = free(state.withColumn("old_a", F.col("from_a")).withColumn("old_b", F.col("from_b")), "a", "from_b", "from_a")
@@ -379,7 +381,7 @@ def resolve(rows: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> tuple[Dat
     lists = rejoin_lonely(blocked).groupBy("block").agg(F.collect_list(F.struct("combo", "table_name", "base", "country", "state", "fuel", "la", "lo", "n")).alias("combos"))
     judged = cut(lists.select(_judge("block", "combos").alias("j")).select("j.*"))
     of_combo = judged.select(F.explode("members").alias("m")).select("m.*")
-    members = parsed.select("table_name", "row_id", "combo").join(of_combo, "combo").drop("combo")
+    members = parsed.select("table_name", "row_id", "combo").join(of_combo.hint("merge"), "combo").drop("combo")
     return members, judged.select(F.explode("pairs").alias("p")).select("p.*")
 
 
@@ -390,7 +392,7 @@ def match(rows: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     a = members.select(F.col("table_name").alias("table_a"), F.col("mention").alias("a"), F.col("row_id").alias("row_a"))
     b = members.select(F.col("table_name").alias("table_b"), F.col("mention").alias("b"), F.col("row_id").alias("row_b"))
     return (
-        accepted.join(a, ["table_a", "a"])
-        .join(b, ["table_b", "b"])
+        accepted.join(a.hint("merge"), ["table_a", "a"])
+        .join(b.hint("merge"), ["table_b", "b"])
         .select(F.least("row_a", "row_b").alias("id_a"), F.greatest("row_a", "row_b").alias("id_b"), F.col("marginal").alias("confidence"))
     )

@@ -228,8 +228,8 @@ def find_garbled_words(words: DataFrame, clean: DataFrame, df: dict[str, int]) -
     forms = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")).repartition(4 * cores), df)
     suspects = words.where("loud or not plain").select("word", "key", "loud")
     own = clean.select("key", F.col("support").alias("own_support"), own_rarest("original").alias("own_rarest"))
-    hits = suspects.join(forms, "key", "left").groupBy("word", "key", "loud").agg(F.max(F.struct("support", "rarest", "original")).alias("best"))
-    judged = hits.join(own, "key", "left")
+    hits = suspects.join(forms.hint("merge"), "key", "left").groupBy("word", "key", "loud").agg(F.max(F.struct("support", "rarest", "original")).alias("best"))
+    judged = hits.join(own.hint("merge"), "key", "left")
     quiet = (
         F.col("own_support").isNull()
         | (F.col("own_rarest") * 4 < F.col("best.rarest"))
@@ -279,7 +279,7 @@ WORDS_AT_HAND = 200_000
 
 
 def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None, words_at_hand: int = WORDS_AT_HAND) -> DataFrame:
-    """Damaged rows of ``rows``: adds ``restored`` (null where a word's original is unknown).
+    """``rows`` with ``garbled`` (whether the name is damaged) and ``restored`` (its original; null where a word's is unknown).
 
     ``rows`` has a name and any other columns. ``corpus(name)`` are further
     names whose clean words may be originals. ``cut`` writes a table once and
@@ -299,14 +299,13 @@ def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None, wor
     def mend(word: str, original: str | None, inverse: list) -> str | None:
         return undo_signs(word, inverse) if original is None else match_case(original, word)
 
-    n_damaged = damaged.count()
-    if n_damaged <= words_at_hand:
+    some = damaged.limit(words_at_hand + 1).collect()
+    if len(some) <= words_at_hand:
         inverse = inverse_tables(signs)
-        table = {w: mend(w, o, inverse) for w, o in damaged.collect()}
-        sent = rows.sparkSession.sparkContext.broadcast(table)
+        sent = rows.sparkSession.sparkContext.broadcast({w: mend(w, o, inverse) for w, o in some})
 
-        def whole(name: str) -> tuple[bool, str | None]:
-            if name.isascii() and not _ASCII_ODD.search(name):  # no word of it can be among the suspects
+        def whole(name: str | None) -> tuple[bool, str | None]:
+            if name is None or (name.isascii() and not _ASCII_ODD.search(name)):  # no word of it can be among the suspects
                 return False, None
             parts = split_name(name)
             hits = [w in sent.value for w in parts[::2]]
@@ -320,9 +319,9 @@ def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None, wor
 
         @F.pandas_udf("struct<garbled boolean, restored string>")
         def judge(names: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([whole(x) if x is not None else (False, None) for x in names], columns=["garbled", "restored"])
+            return pd.DataFrame([whole(x) for x in names], columns=["garbled", "restored"])
 
-        return rows.withColumn("__r", judge("name")).where("__r.garbled").select(*rows.columns, F.col("__r.restored").alias("restored"))
+        return rows.withColumn("__r", judge("name")).select(*rows.columns, "__r.garbled", "__r.restored")
 
     @F.pandas_udf("array<string>")
     def split(s: pd.Series) -> pd.Series:
@@ -344,6 +343,6 @@ def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None, wor
             F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("original", "word").alias("w")))), lambda x: x["w"]), "").alias("all"),
         )
         .where("hit")
-        .select("name", F.when(~F.coalesce("lost", F.lit(False)), F.col("all")).alias("restored"))
+        .select("name", F.lit(True).alias("garbled"), F.when(~F.coalesce("lost", F.lit(False)), F.col("all")).alias("restored"))
     )
-    return rows.join(put, "name").select(*rows.columns, "restored")
+    return rows.join(put, "name", "left").select(*rows.columns, F.coalesce("garbled", F.lit(False)).alias("garbled"), "restored")

@@ -21,9 +21,14 @@ def name_rows(spark: SparkSession, d: str, gppd: bool) -> DataFrame:
     return rows
 
 
+def _repaired(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    """``rows`` with ``garbled`` and ``restored``; all name columns serve as the corpus of clean words."""
+    x = table(spark, d, "unified_plant_crosswalk")
+    return mojibake.repair_names(rows, x.select(F.col("ref_matched_name").alias("name")), cut)
+
+
 def _garbled(spark: SparkSession, d: str) -> DataFrame:
-    corpus = table(spark, d, "unified_plant_crosswalk").select(F.col("ref_matched_name").alias("name")).unionByName(table(spark, d, "gppd").select("name"))
-    return mojibake.repair_names(name_rows(spark, d, gppd=False), corpus, cut)
+    return _repaired(spark, d, name_rows(spark, d, gppd=True)).where("garbled and table_name <> 'gppd'").drop("garbled")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -35,9 +40,9 @@ def p1_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    garbled = _garbled(spark, d).select("table_name", "row_id")
-    unified = confusables.unify(name_rows(spark, d, gppd=True))
-    return unified.where("variant").select("table_name", "row_id").join(garbled, ["table_name", "row_id"], "left_anti")
+    """Variants among the rows that are no cases of p1 (names of gppd never are)."""
+    rows = _repaired(spark, d, name_rows(spark, d, gppd=True)).where("not garbled or table_name = 'gppd'")
+    return confusables.unify(rows.select("table_name", "row_id", "name")).where("variant").select("table_name", "row_id")
 
 
 def p3_unified(spark: SparkSession, d: str) -> DataFrame:
@@ -83,8 +88,7 @@ def _plant_rows(spark: SparkSession, d: str) -> DataFrame:
         .unionByName(entity.gppd_rows(table(spark, d, "gppd")))
         .unionByName(entity.crosswalk_rows(table(spark, d, "unified_plant_crosswalk")))
     )
-    fixed = cut(_garbled(spark, d).select("table_name", "row_id", "restored").withColumn("garbled", F.lit(True)))
-    return rows.join(fixed, ["table_name", "row_id"], "left")
+    return _repaired(spark, d, rows)
 
 
 def p2_matches(spark: SparkSession, d: str) -> DataFrame:

@@ -34,32 +34,22 @@ def unit_groups(gem: DataFrame, members: DataFrame) -> DataFrame:
     ``members`` has (table_name, row_id, mention) for the rows of gem.
     """
     plants = members.where("table_name = 'gem_database'").select(F.col("row_id").alias("gem_row_id"), F.col("mention").alias("plant"))
-    rows = gem.select("gem_row_id", F.upper(F.trim("unit_id")).alias("unit_id"), "unit_name").join(plants, "gem_row_id")
-    labels = rows.select("unit_name").where("unit_name is not null").distinct().withColumn("label", unit_keys("unit_name"))
-    labelled = rows.join(labels, "unit_name", "left")
-    known = labelled.where("label is not null")
-    by_id = known.where("unit_id is not null").groupBy("plant", "unit_id").agg(F.mode("label", deterministic=True).alias("id_label"))
-    only = known.groupBy("plant").agg(F.count_distinct("label").alias("k"), F.max("label").alias("only_label")).where("k = 1").drop("k")
-    # a plant of which no row has a label and all ids agree has one unit
-    bare = labelled.groupBy("plant").agg(F.count("label").alias("k"), F.count_distinct("unit_id").alias("ids")).where("k = 0 and ids <= 1").select("plant", F.lit("only").alias("bare_label"))
+    # sort-merge joins throughout: sides that happen to be small would else be sent to the driver one by one
+    rows = gem.select("gem_row_id", F.upper(F.trim("unit_id")).alias("unit_id"), unit_keys("unit_name").alias("label")).join(plants.hint("merge"), "gem_row_id")
+    by_id = rows.where("label is not null and unit_id is not null").groupBy("plant", "unit_id").agg(F.mode("label", deterministic=True).alias("id_label"))
+    one = F.when(F.count_distinct("label") == 1, F.max("label")).when((F.count("label") == 0) & (F.count_distinct("unit_id") <= 1), "only")
+    of_plant = rows.groupBy("plant").agg(one.alias("plant_label"))
     return (
-        labelled.join(by_id, ["plant", "unit_id"], "left")
-        .join(only, "plant", "left")
-        .join(bare, "plant", "left")
-        .select(
-            "gem_row_id",
-            "plant",
-            F.coalesce("label", "id_label", "only_label", "bare_label", F.concat(F.lit("id "), "unit_id"), F.concat(F.lit("row "), F.col("gem_row_id"))).alias("unit"),
-        )
+        rows.join(of_plant.hint("merge"), "plant")
+        .join(by_id.hint("merge"), ["plant", "unit_id"], "left")
+        .select("gem_row_id", "plant", F.coalesce("label", "id_label", "plant_label", F.concat(F.lit("id "), "unit_id"), F.concat(F.lit("row "), F.col("gem_row_id"))).alias("unit"))
     )
 
 
 def duplicate_pairs(groups: DataFrame) -> DataFrame:
     """(row_id_a, row_id_b): pairs of rows of one group."""
-    many = groups.groupBy("plant", "unit").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    members = groups.join(many, ["plant", "unit"])
-    a, b = members.alias("a"), members.alias("b")
-    return a.join(b, (F.col("a.plant") == F.col("b.plant")) & (F.col("a.unit") == F.col("b.unit")) & (F.col("a.gem_row_id") < F.col("b.gem_row_id"))).select(
+    a, b = groups.alias("a"), groups.alias("b")
+    return a.join(b.hint("merge"), (F.col("a.plant") == F.col("b.plant")) & (F.col("a.unit") == F.col("b.unit")) & (F.col("a.gem_row_id") < F.col("b.gem_row_id"))).select(
         F.col("a.gem_row_id").alias("row_id_a"), F.col("b.gem_row_id").alias("row_id_b")
     )
 
