@@ -204,7 +204,7 @@ def extract_json_reply(s, d):
 
 @query(
     f"""SELECT part.p_partkey, '  GEM: ' || p_name || ' (score: ' || cast(round_even(p_size * 1.5, 0) AS INTEGER) || ')' AS line,
-    'Name: ' || p_name || chr(10) || 'Candidates:' || chr(10) || p_brand AS prompt, p_partkey * 0.001 AS cost FROM part"""
+    'Name: ' || p_name || chr(10) || 'Candidates:' || chr(10) || p_brand AS prompt, p_partkey * 0.001::DOUBLE AS cost FROM part"""
 )
 def prompt_text(s, d):
     return table(s, d, "part").select(
