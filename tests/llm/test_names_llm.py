@@ -92,3 +92,9 @@ def test_unit_keys_and_edits():
     assert {unit_key(x) for x in same} == {"u1"} and unit_key("--") is None and unit_key(None) is None
     assert unit_key("Gas turbine 2") == unit_key("GT-2") == "gt2" and unit_key("Unit A") == "ua" != unit_key("Unit B")
     assert one_edit("abc", "acb") and one_edit("abc", "ab") and one_edit("abc", "abd") and not one_edit("abc", "cba") and one_edit("", "a")
+
+
+def test_damage_that_letters_show():
+    bad = ["Øuèovìlom", "Žoèepaštejn", "Rinъroquйn", "Ratßgobß", "BinunuranÒ", "Œeczopówice", "DURIHUVĂŤN", "Kabùøaèany", "NÕkyladal", "TomφbolΓndia", "Paœiburzno"]
+    good = ["Sèvres", "cœur", "Œuvre", "straße", "vicìlữt", "Bình", "Пeрумолово", "Вotіkugawa", "Καγαμαπολι", "GOLEΜESTAN", "Ţodă", "ŽABĂ", "Perù", "Ålesund", "RANÃO", "Strøm", "Ørsted", "(?)"]
+    assert [w for w in bad if not M.loud(w)] == [] and [w for w in good if M.loud(w)] == []

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltlace.llm.confusables import CYRILLIC, GREEK
+
 # (true encoding, encoding it was read in). Fixed values.
 SINGLE_BYTE = (
     "cp1250", "cp1251", "cp1252", "cp1253", "cp1254", "cp1257", "cp1258", "iso8859-2", "iso8859-5",
@@ -36,8 +38,13 @@ TWICE = ("latin-1", "cp1252")
 _GONE = re.compile("[\x00-\x1f\x7f-\xa0\xad]")
 _WORD = re.compile(r"[^\W\d_]{3,}|[–—]")
 _SPLIT = re.compile("([ \t\r\n\u3000\u2003\u2007\u2009\u202f-]+)")
-_CASE_ODD = re.compile("[a-zß-öø-ÿ][À-ÖØ-ÞŒŠŽŸĂĄĆČĎĐĘĚĞĹĽŁŃŇŐŘŚŞŤŮŰŹŻȘȚ](?!$)")
-_LEADS = re.compile("[ÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑ][\x80-\x9f\xa1-\xac\xae-\xbf]|Ã[\xa0\xad]")
+_CASE_ODD = re.compile("[a-zß-öø-ÿ][À-ÖØ-ÞŒŠŽŸĂĄĆČĎĐĘĚĞĹĽŁŃŇŐŘŚŞŤŮŰŹŻȘȚ]|^[A-Z][À-ÖØ-ÞŒŸ][a-z]")
+_LEADS = re.compile("[ÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑ][\x80-\x9f\xa1-\xac\xae-\xbf]|Ã[\xa0\xad]|[ÃÅÄ][ŒœŸŽžŠš]|[ĂĹ][ŠŚŤŽŹšśťžźŁĄŞŻłąşĽľż]|ĆŻ")
+# letters in places where no language of theirs has them: sharp s after a consonant, the oe ligature beside other
+# vowels, u with grave inside a word that is not Vietnamese, grave vowels beside Nordic o or carons
+_PLACES = re.compile(r"(?i:(?<![aeiouyäöüáéíóú])ß|[aeiouy]œ|œ[aeoyónwz])|ù[a-zß-ÿ]|[øØ].*[èùì]|[èùì].*[øØ]|[èùì].*[šžřčěůďťň]|[ŠŽŘČšžřčěůďťň].*[èùì]")
+_VIETNAMESE = re.compile("[ơưạảấ-ỹƠƯ]")
+_FRENCH = frozenset("éèêëàâîïôûùüÿçœæ")
 _ASCII_ODD = re.compile(r"[\\{}|^~`]|[^\W\d_]\?|\?[^\W\d_]|\?\?")
 
 
@@ -118,7 +125,7 @@ def garbled_forms(word: str) -> set[str]:
 
 def _odd_sign(c: str) -> bool:
     """A sign that sound names do not hold inside words."""
-    if c == "�" or "\x80" <= c <= "\x9f" or c in "ªºƒƑˆ˜ⁿ":
+    if c == "�" or "\x80" <= c <= "\x9f" or c in "ªºƒƑˆ˜ˇⁿ":
         return True
     if c.isascii() or "＀" <= c <= "￯" or c in "–—’‘´º":
         return c == "´"
@@ -137,6 +144,24 @@ def script(c: str) -> str:
     return "kana" if 0x3040 <= o < 0xA000 else "other"
 
 
+def _misplaced(w: str) -> bool:
+    """Letters of the Latin script where they cannot stand, or of other scripts that look like no Latin one among Latin letters."""
+    m = _PLACES.search(w)
+    if m and not _VIETNAMESE.search(w):
+        return True
+    low = w.lower()
+    if "œ" in low and any(not c.isascii() and c.isalpha() and c not in _FRENCH for c in low):
+        return True
+    for kind, like in (("cyrillic", CYRILLIC), ("greek", GREEK)):
+        own = [c for c in w if script(c) == kind]
+        if any(c not in like for c in own) and any(c.isalpha() and script(c) == "latin" and c not in _LIKE[kind] for c in w):
+            return True
+    return False
+
+
+_LIKE = {"cyrillic": frozenset(CYRILLIC.values()), "greek": frozenset(GREEK.values())}
+
+
 def loud(word: str) -> bool:
     """Damage that the word's own signs show."""
     if word in ("(?)", "?"):
@@ -144,6 +169,8 @@ def loud(word: str) -> bool:
     w = word[:-3] if word.endswith("(?)") else word
     if any(_odd_sign(c) for c in w) or _CASE_ODD.search(w) or _LEADS.search(w) or _ASCII_ODD.search(w):
         return True
+    if not w.isascii() and _misplaced(w):
+        return True
     kinds = {script(c) for c in w if c.isalpha() and not c.isascii()}
     if {"latin", "kana"} <= kinds:
         return True
