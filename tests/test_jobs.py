@@ -36,6 +36,23 @@ def test_build_job(spark, files, capsys):
         cli.parser().parse_args(["publish", "--data", "a", "--out", "b", "--schema-only", "--coal-only"])
 
 
+def says_sakura(system, user):
+    return '{"match": "GPPD: Sakura", "source": "GPPD", "confidence": "high", "reasoning": "reads alike"}' if "桜" in user else '{"match": null}'
+
+
+def test_build_job_calls_the_configured_model_only(spark, files, capsys):
+    spark.createDataFrame([("KORBA EAST", None, "NPP", None, None), ("桜", None, "OCCTO", None, None)], FEEDS).write.mode("overwrite").parquet(str(files / "feeds"))
+    base = ["build", "--yes", "--force"] + [x for n in ("units", "plants", "feeds", "lookup") for x in (f"--{n}", str(files / n))]
+    run = lambda out, *more: cli.build(spark, cli.parser().parse_args([*base, "--out", str(files / out), *more]))
+    rows = lambda out: {r.plant_name: (r.matching_method, r.ref_matched_name) for r in spark.read.parquet(str(files / out)).collect()}
+    assert run("none") == 0 and "No model is configured" in capsys.readouterr().out
+    assert rows("none") == {"KORBA EAST": (None, None), "桜": (None, None)}  # 67 points: refused by the similarity stages, and by no stand-in brought back
+    assert run("model", "--model", "tests.test_jobs:says_sakura") == 0
+    assert rows("model") == {"KORBA EAST": (None, None), "桜": ("llm", "Sakura")}
+    with pytest.raises(ValueError):
+        run("bad", "--model", "tests.test_jobs:nothing")
+
+
 def test_publish_job(spark, tmp_path):
     (tmp_path / "data").mkdir()
     row = [("a", None, "EIA")]

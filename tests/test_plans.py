@@ -80,6 +80,11 @@ def test_model_stage_and_merge(spark, inputs):
     assert unified.named_feeds(unified.Inputs(inputs.feeds, inputs.units, inputs.plants, None), ["OE"]).count() == 3
 
 
+def test_stand_in_is_no_model(spark, inputs):
+    got = unified.build(inputs, cut, M.OfflineMatcher).where("confidence is not null").select("plant_name", "matching_method").collect()
+    assert ("BHADRA HPS", "offline") in [tuple(r) for r in got] and {r.matching_method for r in got} == {"offline"}
+
+
 def test_curated(spark, inputs):
     curated = spark.createDataFrame([("Coal", "korba  stps", "u1", "CG", None, 0), ("coal", "korba  stps", "u2", None, "Central", 1), ("coal", "none", "u1", None, None, 2), ("gas", "ZERO TPS", "u1", None, None, 3)], "type string, plant string, unit_id string, state string, sector string, ord long")
     r = by_name(stages.curated_match(inputs.feeds, curated, inputs.units))

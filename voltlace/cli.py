@@ -1,6 +1,6 @@
 """Command line: build the resolved table, publish the products.
 
-    spark-submit -m voltlace.cli build --units F --plants F --feeds F --lookup F --out DIR [--sources NPP EIA ...] [--no-llm] [--force] [--yes]
+    spark-submit -m voltlace.cli build --units F --plants F --feeds F --lookup F --out DIR [--sources NPP EIA ...] [--model MODULE:FUNCTION | --no-llm] [--force] [--yes]
     spark-submit -m voltlace.cli products --tracker DIR --out DIR
     spark-submit -m voltlace.cli publish --data DIR --out DIR [--schema-only | --data-only | --trial-only | --generators-only | --coal-only]
     spark-submit -m voltlace.cli drop-old
@@ -29,7 +29,9 @@ def parser() -> argparse.ArgumentParser:
     for name in ("units", "plants", "feeds", "lookup", "out"):
         b.add_argument(f"--{name}", required=name != "lookup")
     b.add_argument("--sources", nargs="+", choices=sorted(readers.FEEDS))
-    b.add_argument("--no-llm", action="store_true")
+    model = b.add_mutually_exclusive_group()
+    model.add_argument("--model", metavar="MODULE:FUNCTION", help="function of the system and the user prompt that calls a language model and returns its text; without it no model is called")
+    model.add_argument("--no-llm", action="store_true")
     b.add_argument("--force", action="store_true", help="build anew although a result is there (without --sources)")
     b.add_argument("--yes", action="store_true", help="do not ask before the model is called")
     q = sub.add_parser("products")
@@ -56,12 +58,14 @@ def build(spark: SparkSession, args: argparse.Namespace, ask=input) -> int:
         return 0
     lookup = spark.read.parquet(args.lookup) if args.lookup else None
     inputs = unified.Inputs(spark.read.parquet(args.feeds), spark.read.parquet(args.units), spark.read.parquet(args.plants), lookup)
-    matcher = None if args.no_llm else matchers.OfflineMatcher
-    if matcher is not None and not args.yes:
+    matcher = matchers.remote(args.model) if args.model else None
+    if not args.no_llm and not args.yes:
         n = inputs.feeds.select(F.count_distinct(F.coalesce("plant_name", "plant_code"), "source_system")).first()[0]
         price = spark.range(1).select(cost_estimate(F.lit(n))).first()[0]
         if ask(f"Up to {n} names go to the model, at most about {price:.2f} dollars. Go on? [y/N] ").strip().lower() != "y":
             matcher = None
+    if not args.no_llm and args.model is None:
+        print("No model is configured (--model): the model stage is left out.")
     result = cut(unified.build(inputs, cut, matcher, args.sources, existing))
     publish.publish_unified(result, args.out)
     reports.coverage(result, "source_system", "ref_source").show(truncate=False)

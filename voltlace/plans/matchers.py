@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 import re
 import time
@@ -49,7 +50,9 @@ def user_prompt(plant_name: str, candidates: str) -> str:
 
 
 class NameMatcher(ABC):
-    """Plug-in: takes a name and the text of its candidates."""
+    """Plug-in: takes a name and the text of its candidates; ``method`` is what its rows are published as."""
+
+    method = "llm"
 
     @property
     @abstractmethod
@@ -110,8 +113,18 @@ class RemoteMatcher(NameMatcher):
         return MatchResult(plant_name, None, None, None, f"API_FAILURE: {error}")
 
 
+def remote(target: str) -> Callable[[], RemoteMatcher]:
+    """Builder of a remote matcher over the function ``MODULE:FUNCTION``, which tasks import themselves."""
+    module, _, function = target.partition(":")
+    if not callable(getattr(importlib.import_module(module), function, None)):
+        raise ValueError(f"{target} names no function; give MODULE:FUNCTION")
+    return lambda: RemoteMatcher(getattr(importlib.import_module(module), function))
+
+
 class OfflineMatcher(NameMatcher):
-    """Takes the first candidate line from ``minimum`` points on; high confidence from 90."""
+    """Stand-in without a model: takes the first candidate line from ``minimum`` points on; high confidence from 90."""
+
+    method = "offline"
 
     def __init__(self, minimum: int = 60):
         self.minimum = minimum
@@ -128,7 +141,7 @@ class OfflineMatcher(NameMatcher):
         return MatchResult(plant_name, line, line.split(":", 1)[0], "high" if int(m.group(1)) >= 90 else "medium", "closest candidate")
 
 
-REPLY = "plant_name string, source_system string, match string, source string, confidence string, reasoning string, status string"
+REPLY = "plant_name string, source_system string, match string, source string, confidence string, reasoning string, status string, method string"
 
 
 def run_matcher(candidates: DataFrame, build: Callable[[], NameMatcher]) -> DataFrame:
@@ -147,7 +160,7 @@ def run_matcher(candidates: DataFrame, build: Callable[[], NameMatcher]) -> Data
                 r = asdict(matcher.match(plant, cands or "", feed))
                 reason = text(r["reasoning"]) or ""
                 status = "failed" if re.match("(API|PARSE)_FAILURE", reason) else ("match" if isinstance(r["match"], str) and r["match"] else "no match")
-                rows.append((plant, feed, text(r["match"]), text(r["source"]), text(r["confidence"]), reason, status))
+                rows.append((plant, feed, text(r["match"]), text(r["source"]), text(r["confidence"]), reason, status, matcher.method))
             yield pd.DataFrame(rows, columns=[f.split()[0] for f in REPLY.split(", ")], dtype=object)
 
     return candidates.mapInPandas(run, REPLY)

@@ -470,7 +470,7 @@ def unified_build(s, d):
 
 @query(None)
 def llm_stage_offline(s, d):
-    return unified.build(_inputs(s, d), cut, matchers.OfflineMatcher).where("matching_method = 'llm'")
+    return unified.build(_inputs(s, d), cut, matchers.OfflineMatcher).where("matching_method = 'offline'")
 
 
 @query("SELECT 'unified' AS product, count(*) AS n_rows, count(*) - count(DISTINCT (coalesce(plant_code, plant_name), source_system)) AS n_double FROM (SELECT DISTINCT plant_name, plant_code, source_system FROM unified_plant_crosswalk)")

@@ -140,10 +140,10 @@ def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], names: dict
 
 
 def model_match(plants: DataFrame, indexes: dict[str, DataFrame], infos: dict[str, DataFrame], build: Callable[[], NameMatcher], cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Rows a language model matches; its replies are written once before they are used."""
+    """Rows a matcher (a language model, or a stand-in under its own label) finds; its replies are written once before they are used."""
     replies = cut(run_matcher(candidate_text(plants, indexes, infos), build))
     good = replies.where(usable(F.col("match"), F.col("confidence"))).withColumn("m", X.clean_match(F.col("match")))
-    answers = good.select("plant_name", "source_system", F.coalesce("m.source", "source").alias("source"), F.col("m.name").alias("name"), X.confidence_key(F.col("confidence")).alias("confidence"), "reasoning")
+    answers = good.select("plant_name", "source_system", F.coalesce("m.source", "source").alias("source"), F.col("m.name").alias("name"), X.confidence_key(F.col("confidence")).alias("confidence"), "reasoning", "method")
     holders = None
     for label, info in infos.items():
         part = info.select(F.lit(label).alias("ref"), "grp", "name", "latitude", "longitude", *[(F.col(c) if c in info.columns else F.lit(None)).alias(c) for c in COAL])
@@ -156,7 +156,7 @@ def model_match(plants: DataFrame, indexes: dict[str, DataFrame], infos: dict[st
     codes = plants.select("plant_name", "source_system", "plant_code").distinct()
     rows = found.join(codes, ["plant_name", "source_system"], "left")
     return as_output(
-        without_foreign_coal(rows.withColumn("ref_source", F.col("source")).withColumn("matching_method", F.lit("llm")).withColumn("ref_matched_name", F.col("name")))
+        without_foreign_coal(rows.withColumn("ref_source", F.col("source")).withColumn("matching_method", F.col("method")).withColumn("ref_matched_name", F.col("name")))
     )
 
 
