@@ -53,6 +53,14 @@ def test_build_job_calls_the_configured_model_only(spark, files, capsys):
         run("bad", "--model", "tests.test_jobs:nothing")
 
 
+def test_build_job_reads_the_curated_list(spark, files):
+    (files / "list.csv").write_text('Type,DGR plant name,GEM unit/phase ID,State,Sector\nCoal," korba  stps",u1,CG,\ncoal," korba  stps",u1,,Central\ngas,x,u1,,\n')
+    args = ["build", "--no-llm", "--sources", "NPP", "--curated", str(files / "list.csv")] + [x for n in ("units", "plants", "feeds", "lookup", "out") for x in (f"--{n}", str(files / n))]
+    assert cli.build(spark, cli.parser().parse_args(args)) == 0
+    r = spark.read.parquet(str(files / "out")).first()
+    assert (r.plant_name, r.matching_method, r.confidence, r.state, r.sector, r.capacity_mw, r.ref_matched_name) == ("KORBA STPS", "direct", "high", "CG", "Central", 1000.0, "Korba power station")
+
+
 def test_publish_job(spark, tmp_path):
     (tmp_path / "data").mkdir()
     row = [("a", None, "EIA")]

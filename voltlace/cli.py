@@ -1,6 +1,6 @@
 """Command line: build the resolved table, publish the products.
 
-    spark-submit -m voltlace.cli build --units F --plants F --feeds F --lookup F --out DIR [--sources NPP EIA ...] [--model MODULE:FUNCTION | --no-llm] [--force] [--yes]
+    spark-submit -m voltlace.cli build --units F --plants F --feeds F --lookup F [--curated F] --out DIR [--sources NPP EIA ...] [--model MODULE:FUNCTION | --no-llm] [--force] [--yes]
     spark-submit -m voltlace.cli products --tracker DIR --out DIR
     spark-submit -m voltlace.cli publish --data DIR --out DIR [--schema-only | --data-only | --trial-only | --generators-only | --coal-only]
     spark-submit -m voltlace.cli drop-old
@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     b = sub.add_parser("build")
     for name in ("units", "plants", "feeds", "lookup", "out"):
         b.add_argument(f"--{name}", required=name != "lookup")
+    b.add_argument("--curated", help="list of units of the Indian feed: the CSV file as published, or parquet with type, plant, unit_id, state, sector, ord")
     b.add_argument("--sources", nargs="+", choices=sorted(readers.FEEDS))
     model = b.add_mutually_exclusive_group()
     model.add_argument("--model", metavar="MODULE:FUNCTION", help="function of the system and the user prompt that calls a language model and returns its text; without it no model is called")
@@ -57,7 +58,8 @@ def build(spark: SparkSession, args: argparse.Namespace, ask=input) -> int:
         reports.coverage(existing, "source_system", "ref_source").show(truncate=False)
         return 0
     lookup = spark.read.parquet(args.lookup) if args.lookup else None
-    inputs = unified.Inputs(spark.read.parquet(args.feeds), spark.read.parquet(args.units), spark.read.parquet(args.plants), lookup)
+    curated = readers.curated_list(spark, args.curated) if args.curated else None
+    inputs = unified.Inputs(spark.read.parquet(args.feeds), spark.read.parquet(args.units), spark.read.parquet(args.plants), lookup, curated)
     matcher = matchers.remote(args.model) if args.model else None
     if not args.no_llm and not args.yes:
         n = inputs.feeds.select(F.count_distinct(F.coalesce("plant_name", "plant_code"), "source_system")).first()[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -450,6 +451,26 @@ def _inputs(s, d) -> unified.Inputs:
     return unified.Inputs(feeds(s, d), gem_units(s, d), gppd_plants(s, d), table(s, d, "eia_plant_lookup"))
 
 
+def curated_units(s: SparkSession, d: str) -> DataFrame:
+    """A list as the curated one, derived from the tables: the units of the project that an Indian feed name was matched to, under an irregularly spaced name."""
+    x = table(s, d, "unified_plant_crosswalk").where("source_system = 'NPP' and plant_name is not null").groupBy("plant_name").agg(F.min("ref_matched_name").alias("project_name"))
+    g = table(s, d, "gem_database").where("country = 'India'").select("project_name", "unit_id", "fuel", "subnational", "status", F.col("gem_row_id").alias("ord"))
+    kind = F.when(F.coalesce(F.lower(F.trim("fuel")).startswith("coal"), F.lit(False)), "Coal").otherwise("other")
+    return x.join(g, "project_name").select(kind.alias("type"), F.concat(F.lit(" "), F.lower(F.replace("plant_name", F.lit(" "), F.lit("  ")))).alias("plant"), "unit_id", F.col("subnational").alias("state"), F.col("status").alias("sector"), "ord")
+
+
+@query(None)
+def curated_match(s, d):
+    """The curated stage over a derived list."""
+    return stages.curated_match(feeds(s, d), curated_units(s, d), gem_units(s, d))
+
+
+@query(None)
+def unified_build_curated(s, d):
+    """The whole build with the curated stage, over the same list."""
+    return unified.build(replace(_inputs(s, d), curated=curated_units(s, d)), cut)
+
+
 _SHOWN = ["plant_name", "plant_code", "source_system", "latitude", "longitude", "ref_source", "matching_method", "ref_matched_name", "coal_type", "combustion_tech", "capacity_mw"]
 
 

@@ -119,6 +119,18 @@ def with_order(df: DataFrame, name: str = "ord") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+# Headers of the curated list of the Indian feed -> names. Fixed values.
+CURATED_COLUMNS = {"Type": "type", "DGR plant name": "plant", "GEM unit/phase ID": "unit_id", "State": "state", "Sector": "sector"}
+
+
+def curated_list(spark: SparkSession, path: str) -> DataFrame:
+    """The curated list as :func:`voltlace.plans.stages.curated_match` reads it; rows of a CSV file keep their order."""
+    if not path.lower().endswith(".csv"):
+        return spark.read.parquet(path)
+    raw = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    return with_order(raw.select(*[F.col(f"`{k}`").alias(v) for k, v in CURATED_COLUMNS.items()]))
+
+
 # -- tracker files -----------------------------------------------------------
 
 # Tracker headers -> names. Fixed values.
