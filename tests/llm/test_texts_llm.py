@@ -60,6 +60,23 @@ def test_leakage(spark):
     assert leakage.find_spans(d.limit(0), it).count() == 0 and leakage.find_spans(d, it.limit(0)).count() == 0
 
 
+def test_removal_covers_edited_passages_whole():
+    item = [f"w{i}" for i in range(60)]
+    edit = lambda step, keep=0: [w if i < keep or i % step else "edited" for i, w in enumerate(item)]
+    other = lambda n: [f"z{i}" for i in range(n)]
+
+    def removed(words):
+        material = leakage.Material([(1, " ".join(item), None)])
+        text = " ".join(words)
+        hit = {k for *_, a, b in leakage._search_shard(material, [(7, material.words.spans(text))]) for k in range(a, b)}
+        places = leakage.Words([]).spans(text)
+        return [i for i, (_, a, b) in enumerate(places) if a in hit and b - 1 in hit]
+
+    assert removed(other(50) + edit(9, 15) + other(50)) == list(range(50, 110))  # one run of 12 words and more, the others shorter
+    assert set(removed(other(20) + edit(9) + other(30) + edit(9) + other(9))) == {*range(21, 80), *range(111, 170)}  # two copies; what lies between stays
+    assert removed(other(5) + edit(9)[:20] + other(5)) == []
+
+
 def test_removal_spans_merge(spark):
     df = spark.createDataFrame([(1, 0, 5), (1, 5, 9), (1, 3, 4), (1, 20, 30), (2, 1, 2)], "doc_id long, first_char int, end_char int")
     assert sorted(tuple(r) for r in leakage.removal_spans(df).collect()) == [(1, 0, 9), (1, 20, 30), (2, 1, 2)]

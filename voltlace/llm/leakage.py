@@ -21,6 +21,7 @@ repeated texts are each reported.
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,6 +108,45 @@ class Material:
         self.where = list(where.values())
 
 
+def _edited(seeds: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """(first word, last word) of all stretches that hold ``SHARE`` of a passage of ``n`` words, from its sorted seeds.
+
+    Every seed of a stretch counts, wherever the stretch begins. Words between
+    two seeds belong to the passage if it goes on there by about as many words;
+    other words, as those between two copies, do not.
+    """
+    reach = n * 3 // 2
+    times: Counter = Counter()
+    held, begin = [False] * len(seeds), 0
+    last = 0  # seeds before this one are in the window, or were
+    for i, (p, k) in enumerate(seeds):
+        while last < len(seeds) and seeds[last][0] - p <= reach:
+            times.update(range(seeds[last][1], seeds[last][1] + SEED))
+            last += 1
+        if len(times) >= SHARE * n:
+            for j in range(max(i, begin), last):
+                held[j] = True
+            begin = last
+        for x in range(k, k + SEED):
+            times[x] -= 1
+            if not times[x]:
+                del times[x]
+    kept = [s for s, h in zip(seeds, held) if h]
+    out: list[tuple[int, int]] = []
+    for i, (p, k) in enumerate(kept):
+        end = p
+        for q, m in kept[i + 1 :]:
+            if q - p > reach:
+                break
+            if q - p < 2 * SEED or (m > k and q - p <= (m - k) * 3 // 2 + RUN):
+                end = q
+        if out and p <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], end + SEED - 1))
+        else:
+            out.append((p, end + SEED - 1))
+    return out
+
+
 def _judge(material: Material, hits: dict[int, set[tuple[int, int]]]) -> list[tuple[int, int, int]]:
     """(field, first word, last word) of the fields a document holds, from its seeds as field -> {(text place, field place)}."""
     out = []
@@ -126,17 +166,8 @@ def _judge(material: Material, hits: dict[int, set[tuple[int, int]]]) -> list[tu
                 if last - begin + SEED >= RUN:
                     stretches.append((f, begin, last + SEED - 1))
                 begin = last = p
-        if not stretches and is_passage and len(seeds) > 1:
-            order = sorted(seeds)
-            reach = len(nums) * 3 // 2
-            best, j = (0, 0, 0), 0
-            for i in range(len(order)):  # the best stretch of text that begins with a seed
-                covered = {k + x for p, k in order[i:] if p - order[i][0] <= reach for x in range(SEED)}
-                if len(covered) > best[0]:
-                    j = max(p for p, _ in order[i:] if p - order[i][0] <= reach)
-                    best = (len(covered), order[i][0], j + SEED - 1)
-            if best[0] >= SHARE * len(nums):
-                stretches.append((f, best[1], best[2]))
+        if is_passage and len(seeds) > 1:
+            stretches += [(f, a, b) for a, b in _edited(sorted(seeds), len(nums))]
         out += stretches
     return out
 
