@@ -132,6 +132,12 @@ def test_pii_clean(text):
     assert pii.find_spans(text) == [] and pii.masked(text) == text
 
 
+def test_values_are_masked_everywhere():
+    text = "On duty was Tobin Pelocke (07700 900941). Later Tobin Pelocke left; Tobin Pelockes did not. Passport AB123456. Copy of AB123456, not of AB1234567."
+    assert pii.masked(text) == "On duty was [PERSON_NAME] ([PHONE]). Later [PERSON_NAME] left; Tobin Pelockes did not. Passport [NATIONAL_ID]. Copy of [NATIONAL_ID], not of AB1234567."
+    assert pii.masked("Gate log: Tobin Pelocke. Send it to Tobin Pelocke-Marr.") == "Gate log: [PERSON_NAME]. Send it to [PERSON_NAME]-Marr."
+
+
 def test_checksums():
     assert pii.luhn("4539148803436467") and not pii.luhn("4539148803436468")
     assert pii.mod97("GB82WEST12345698765432"[4:] + "GB82") and pii.mod11_pair("11144477735") and pii.weighted10("44051401359") and pii.verhoeff("2363") and not pii.verhoeff("2364")

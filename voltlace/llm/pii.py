@@ -95,6 +95,7 @@ def any_check(text: str) -> bool:
 
 # -- proposals ---------------------------------------------------------------
 
+_WORD_SIGN = regex.compile(r"[\p{L}\p{M}\p{N}_]")
 _W = r"[\p{L}\p{M}'’-]"
 EMAIL = regex.compile(r"(?<![\w.%+-])[\w.%+-]+(?:@| @ ?|@ )[\p{L}\d-]+(?:\.[\p{L}\d-]+)*\.\p{L}{2,}(?![\p{L}\d])")
 EMAIL_SPELT = regex.compile(
@@ -224,12 +225,31 @@ def find_spans(text: str) -> list[Span]:
     return sorted(chosen)
 
 
+def everywhere(text: str, spans: list[Span]) -> list[Span]:
+    """``spans`` and every further place where the text has one of their values as whole words; longer values first."""
+    taken = bytearray(len(text))
+    for s in spans:
+        taken[s.start : s.end] = b"\1" * (s.end - s.start)
+    out = list(spans)
+    for value, s in sorted({text[s.start : s.end]: s for s in spans}.items(), key=lambda x: (-len(x[0]), x[0])):
+        at = text.find(value)
+        while at >= 0:
+            end = at + len(value)
+            if any(taken[at:end]) or (_WORD_SIGN.match(text, at - 1) if at else None) or _WORD_SIGN.match(text, end):
+                at = text.find(value, at + 1)
+                continue
+            taken[at:end] = b"\1" * len(value)
+            out.append(Span(at, end, s.kind, s.score))
+            at = text.find(value, end)
+    return sorted(out)
+
+
 def masked(text: str | None) -> str | None:
     """The text with ``[KIND]`` in place of each span, and nothing else changed."""
     if not text:
         return text
     out, at = [], 0
-    for s in find_spans(text):
+    for s in everywhere(text, find_spans(text)):
         out += [text[at : s.start], f"[{s.kind.upper()}]"]
         at = s.end
     return "".join([*out, text[at:]])
