@@ -96,6 +96,14 @@ def test_unit_pairs_and_survivors(spark):
     assert survivor.duplicate_pairs(survivor.unit_groups(gem.limit(0), members)).count() == 0
 
 
+def test_rows_without_a_place_survive(spark):
+    gem, members = gem_rows(spark)
+    groups = survivor.unit_groups(gem, members.where("row_id not in (6, 7)"))
+    sources = spark.createDataFrame([("good", 1)], "record_source string, trust_rank int")
+    best = {(r.plant, r.unit): r for r in survivor.surviving_units(gem, sources, groups).collect()}
+    assert best["row 6", "row 6"].unit_id == "H1" and best["row 7", "row 7"].capacity == "7" and sum(r.n_rows for r in best.values()) == 7
+
+
 def test_survivors_equal_brute_force(spark):
     import random
 

@@ -13,7 +13,8 @@ same unit id, and else nothing, are the same unit.
 
 Cases: null values never beat others; sources without a rank come last; equal
 rank and time go to the greater value; repeated rows group together; null
-labels and ids match nothing by themselves; an empty table gives no rows.
+labels and ids match nothing by themselves; rows whose name tells no place are
+paired with nothing and survive one by one; an empty table gives no rows.
 Groups are aggregated with partial maxima and never gathered; pairs are listed
 per group because the query asks for them.
 """
@@ -65,9 +66,11 @@ def survivors(rows: DataFrame, keys: list[str], attributes: dict[str, Column], p
 
 
 def surviving_units(gem: DataFrame, sources: DataFrame, groups: DataFrame) -> DataFrame:
-    """One record per listed unit of the catalogue."""
+    """One record per listed unit of the catalogue; rows that ``groups`` lacks, whose name tells no place, are a group each."""
     trust = sources.groupBy("record_source").agg(F.min("trust_rank").alias("trust_rank"))
-    rows = gem.join(groups, "gem_row_id").join(trust, "record_source", "left")
+    own = F.concat(F.lit("row "), F.col("gem_row_id"))
+    grouped = gem.join(groups, "gem_row_id", "left").withColumn("plant", F.coalesce("plant", own)).withColumn("unit", F.coalesce("unit", own))
+    rows = grouped.join(trust, "record_source", "left")
     text = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
     lat, lon = F.col("latitude"), F.col("longitude")
     sound = lat.between(-90, 90) & lon.between(-180, 180) & ~((lat == 0) & (lon == 0)) & ~F.isnan(lat) & ~F.isnan(lon)
