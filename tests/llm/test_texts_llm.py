@@ -114,6 +114,10 @@ FOUND = [
     ("Anschrift: Uferstraße 2B, Foo 14201. Telefon (607) 555-0153, Herr Eike Grauwede.", [("street_address", "Uferstraße 2B"), ("phone", "(607) 555-0153"), ("person_name", "Eike Grauwede")]),
     ("Endereço: Rua do Moinho, 131a, Foo 02744.", [("street_address", "Rua do Moinho, 131a")]),
     ("Documento 000.180.238-15 em nome de Jacinto Braga-Novas.", [("national_id", "000.180.238-15"), ("person_name", "Jacinto Braga-Novas")]),
+    ("Her SSN 123 45 6789.", [("national_id", "123 45 6789")]),
+    ("Please call us Montag 0171 555 1234.", [("phone", "0171 555 1234")]),
+    ("Maria Lopez called about the outage.", [("person_name", "Maria Lopez")]),
+    ("Then the operator Anna Kowalska said no.", [("person_name", "Anna Kowalska")]),
     ("Contact:\nWilma Marroway\n225 Tannery Close\nFoo 25249\nTel. +1 212 555 0144\nx_y@a.example", [("person_name", "Wilma Marroway"), ("street_address", "225 Tannery Close"), ("phone", "+1 212 555 0144"), ("email", "x_y@a.example")]),
 ]
 CLEAN = [
@@ -138,6 +142,30 @@ def test_values_are_masked_everywhere():
     assert pii.masked("Gate log: Tobin Pelocke. Send it to Tobin Pelocke-Marr.") == "Gate log: [PERSON_NAME]. Send it to [PERSON_NAME]-Marr."
 
 
+# confirmed without a label, refuted without one, carried by a label all the same
+NUMBERS = [
+    ("111.444.777-35", "111.444.777-36"), ("44051401359", "44051401358"), ("2341 2341 2346", "2341 2341 2347"), ("12345678Z", "12345678A"), ("8001015009087", "8001015009086"), ("811218-9876", "811218-9875"),
+    ("123-45-6789", "923-45-6789"), ("AB 12 34 56 C", "QQ 12 34 56 C"), ("2 55 08 14 168 025 38", "2 55 08 14 168 025 39"),
+]
+
+
+@pytest.mark.parametrize("right,wrong", NUMBERS)
+def test_checks_decide(right, wrong, monkeypatch):
+    found = lambda t: [t[s.start : s.end] for s in pii.find_spans(t) if s.kind == "national_id"]
+    assert found(f"He wrote {right} on the form.") == [right] and found(f"He wrote {wrong} on the form.") == []
+    assert found(f"His identity number {wrong} is known.") == [wrong]
+    assert found(f"It is meter {right} here.") == []
+    monkeypatch.setattr(pii, "VALIDATORS", {})
+    assert found(f"He wrote {right} on the form.") == [] or found(f"He wrote {wrong} on the form.") == [wrong]
+
+
+def test_checks_refuse_what_a_hint_alone_would_carry():
+    found = lambda t: [s.kind for s in pii.find_spans(t)]
+    assert found("44051401359 issued to nobody") == ["national_id"] and found("44051401358 issued to nobody") == []
+    # accounts and cards are neither identity nor phone numbers
+    assert found("Pay 4539 1488 0343 6467 or GB82 WEST 1234 5698 7654 32.") == []
+
+
 def test_checksums():
     assert pii.luhn("4539148803436467") and not pii.luhn("4539148803436468")
     assert pii.mod97("GB82WEST12345698765432"[4:] + "GB82") and pii.mod11_pair("11144477735") and pii.weighted10("44051401359") and pii.verhoeff("2363") and not pii.verhoeff("2364")
@@ -152,4 +180,4 @@ def test_pii_tables(spark):
     assert pii.find(d).count() == len(got) and pii.find(d.limit(0)).count() == 0
     masked = {r.doc_id: r.text for r in pii.redact(d.drop("pii_kind")).collect()}
     assert masked[2] == "On duty was [PERSON_NAME] ([PHONE])." and masked[50] is None and masked[51] == "" and masked[53] == "Reply to [EMAIL]. Reply to [EMAIL]."
-    assert d.select(F.count("*")).first()[0] == 15
+    assert d.select(F.count("*")).first()[0] == len(docs)

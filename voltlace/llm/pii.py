@@ -1,10 +1,17 @@
 """Personal information inside free text (problem 8).
 
-Method. Regular expressions propose spans; checksum validators (Luhn, mod-11,
-Verhoeff, mod-97) confirm numbers; words near the span raise or lower its
-score. A span counts from ``THRESHOLD`` on; overlapping spans go to the higher
-score, then the longer, then the earlier one. Check digits may be wrong in
-real texts, so a failed check only withholds its bonus.
+Method. Regular expressions propose spans, each with its kind's shape; the
+shape's checksum validator (Luhn, mod-97, mod-11, Verhoeff, check letters,
+number ranges) then confirms or refutes a number, and words near the span
+adjust the score. A span counts from ``THRESHOLD`` on; overlapping spans go to
+the higher score, then the longer, then the earlier one.
+
+Numbers. Without a label a number is an identity number only if its validator
+confirms it; a label before it (`passport`, `PESEL`) carries a number whose
+check digits are wrong; a weaker hint behind it (`issued to`) carries numbers
+of shapes without a validator and confirmed ones, not refuted ones. A number
+that mod-97 or Luhn confirms as a bank account or payment card is neither an
+identity nor a phone number.
 
 One pass over each whole text, in Arrow batches, without a shuffle.
 
@@ -86,11 +93,68 @@ def verhoeff(digits: str) -> bool:
     return c == 0
 
 
-def any_check(text: str) -> bool:
-    d = regex.sub(r"\D", "", text)
-    if len(d) == 11 and (mod11_pair(d) or weighted10(d)):
-        return True
-    return len(d) == 12 and verhoeff(d)
+def digits_of(text: str) -> str:
+    return "".join(c for c in text if c.isdigit())
+
+
+def _day(yymmdd: str) -> bool:
+    return 1 <= int(yymmdd[2:4]) % 20 <= 12 and 1 <= int(yymmdd[4:6]) <= 31
+
+
+def eleven_digits(text: str) -> bool:
+    """Birth date and weighted check digit, or two check digits modulo 11, or nine digits and their complement modulo 97."""
+    d = digits_of(text)
+    return (weighted10(d) and _day(d)) or mod11_pair(d) or (int(d[9:]) == 97 - int(d[:9]) % 97 and _day(d))
+
+
+def twelve_digits(text: str) -> bool:
+    d = digits_of(text)
+    return d[0] not in "01" and verhoeff(d)
+
+
+def nine_digits(text: str) -> bool:
+    """Luhn, or a last digit from the weighted sum modulo 11."""
+    d = digits_of(text)
+    return d[0] != "0" and (luhn(d) or (11 - sum(int(c) * w for c, w in zip(d, range(9, 1, -1))) % 11) % 11 % 10 == int(d[8]))
+
+
+def area_group_serial(text: str) -> bool:
+    """Ranges in which numbers of three, two and four digits are issued."""
+    d = digits_of(text)
+    return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
+
+
+def prefix_letters(text: str) -> bool:
+    """Letter pairs with which such numbers begin."""
+    return text[0] not in "DFIQUV" and text[1] not in "DFIOQUV" and text[:2] not in ("BG", "GB", "KN", "NK", "NT", "TN", "ZZ")
+
+
+def check_letter(text: str) -> bool:
+    """Eight digits whose remainder by 23 names the letter."""
+    return text[-1].upper() == "TRWAGMYFPDXBNJZSQVHLCKE"[int(digits_of(text)) % 23]
+
+
+def luhn_date(text: str) -> bool:
+    """Luhn over a number that begins with a birth date."""
+    d = digits_of(text)
+    return luhn(d) and _day(d)
+
+
+def key_of_97(text: str) -> bool:
+    """Thirteen digits and their complement modulo 97."""
+    d = digits_of(text)
+    return int(d[13:]) == 97 - int(d[:13]) % 97
+
+
+def account(text: str) -> bool:
+    """Bank account by mod-97."""
+    t = regex.sub(r"[ -]", "", text).upper()
+    return mod97(t[4:] + t[:4])
+
+
+def card(text: str) -> bool:
+    d = digits_of(text)
+    return d[0] in "3456" and luhn(d)
 
 
 # -- proposals ---------------------------------------------------------------
@@ -113,16 +177,32 @@ PHONE = regex.compile(
     r"|\d{3}([ .-])\d{3}\1\d{4}"
     r")(?![\w/]|[.-]\d)"
 )
-ID_SHAPES = (
-    (regex.compile(r"(?<![\w./-])[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D](?![\w/-])"), 0.7),
-    (regex.compile(r"(?<![\w./-])\d{3}\.\d{3}\.\d{3}-\d{2}(?![\w/-])"), 0.7),
-    (regex.compile(r"(?<![\w./-])\d{3}-\d{2}-\d{4}(?![\w/-])"), 0.6),
-    (regex.compile(r"(?<![\w./-])\d{3} \d{2} \d{4}(?![\w/-])"), 0.4),
-    (regex.compile(r"(?<![\w./-])[A-Z]{2}\d{6,7}(?![\w/-])"), 0.2),
-    (regex.compile(r"(?<![\w./-])\d{4}[ -]?\d{4}[ -]?\d{4}(?![\w/-])"), 0.2),
-    (regex.compile(r"(?<![\w./+-])\d{11}(?![\w/-])"), 0.2),
-    (regex.compile(r"(?<![\w./-])\d{9}(?![\w/-])"), 0.1),
+# name of the shape, its pattern, its own weight, its validator
+ID_SHAPES = tuple(
+    (name, regex.compile(rf"(?<![\w./+-]){shape}(?![\w/-])"), weight)
+    for name, shape, weight in (
+        ("two letters, six digits, letter", r"[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D]", 0.5),
+        ("3.3.3-2", r"\d{3}\.\d{3}\.\d{3}-\d{2}", 0.4),
+        ("3-2-4", r"\d{3}-\d{2}-\d{4}", 0.4),
+        ("3 2 4", r"\d{3} \d{2} \d{4}", 0.2),
+        ("two letters and digits", r"[A-Z]{2}\d{6,7}", 0.2),
+        ("12 digits", r"\d{4}[ -]?\d{4}[ -]?\d{4}", 0.2),
+        ("11 digits", r"(?:\d{11}|\d{2}\.\d{2}\.\d{2}-\d{3}\.\d{2})", 0.2),
+        ("9 digits", r"\d{3}[ -]?\d{3}[ -]?\d{3}", 0.15),
+        ("8 digits and letter", r"\d{8}-?[A-Z]", 0.3),
+        ("13 digits", r"\d{13}", 0.2),
+        ("6-4", r"\d{6}[-+]\d{4}", 0.2),
+        ("1 2 2 2 3 3 2", r"[12] ?\d{2} ?\d{2} ?\d{2} ?\d{3} ?\d{3} ?\d{2}", 0.2),
+    )
 )
+VALIDATORS = {
+    "two letters, six digits, letter": prefix_letters, "3.3.3-2": lambda t: mod11_pair(digits_of(t)), "3-2-4": area_group_serial, "3 2 4": area_group_serial, "12 digits": twelve_digits, "11 digits": eleven_digits,
+    "9 digits": nine_digits, "8 digits and letter": check_letter, "13 digits": luhn_date, "6-4": luhn_date, "1 2 2 2 3 3 2": key_of_97,
+}
+# Shapes whose confirmation a number passes by chance too often to count without any hint.
+FAINT = {"9 digits", "3 2 4"}
+CONFIRMED, REFUTED, LABEL, HINT, OTHER = 0.45, -0.25, 0.75, 0.5, -0.75
+ACCOUNTS = ((regex.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){2,7}(?: ?[A-Z\d]{1,3})?(?!\w)"), account), (regex.compile(r"(?<![\w.+-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,4}(?:[ -]?\d{1,3})?(?![\w-])"), card))
 _NUMBER = r"\d{1,4}(?:[ ]?[A-Za-z])?(?:/\d{1,4}[A-Za-z]?)?"
 _TITLE = rf"(?:\p{{Lu}}{_W}*|d[aeo]s?|l[ao]s?|del?|zu[mr]?|am|im|von|an|der|den) ?"
 STREETS = (
@@ -137,6 +217,9 @@ STREETS = (
         rf"(?:{_TITLE}){{1,5}},? ?(?:(?:[nN]º|[nN]\.º|[nN]°|[nN]úm\.|[nN]o\.) ?)?{_NUMBER}(?![\w/])"
     ),
 )
+# what the second pattern ends with, without what comes before it: a cheap look first
+_STREET_END = regex.compile(r"(?:stra(?:ß|ẞ|ss)e|str\.|weg|allee|gasse|platz|ring|damm|ufer|chaussee|steig|pfad|zeile)(?: nr\.)? \d", regex.I)
+_LETTERS = regex.compile(r"\p{L}+")
 _CAP = r"\p{Lu}\p{Ll}[\p{L}\p{M}'’]*"
 _FAMILY = rf"(?:{_CAP}|\p{{Lu}}{{3,}})(?:-(?:{_CAP}|\p{{Lu}}{{3,}}))?"
 NAME = regex.compile(
@@ -145,30 +228,80 @@ NAME = regex.compile(
 
 # -- words nearby ------------------------------------------------------------
 
-NUMBER_OTHER = regex.compile(r"(?:serial|meter|order|drawing|permit|part|article|invoice|batch|unit|tag|model|asset|ticket|wager|plan|sn|reading|no match|line|seriennummer|auftrag|zähler|zamówienie|licznik|pedido|medidor|encomenda|série|serie)\W{0,3}(?:no\.?|number|nr\.?)?\W{0,3}$", regex.I)
-ID_LEFT = regex.compile(r"(?:national id|identity (?:number|card|document)|id (?:number|card|no\.?)|passport|documento|document|numer dokumentu|dowód|ausweis|ausweisnummer|personalausweis|pesel|cpf|dni|ssn|form lists|insurance number|bilhete|cédula|nif|identidade|identidad)\b[^\n.]{0,12}$", regex.I)
-ID_RIGHT = regex.compile(r"^[,;)]?\s*(?:as the holder|em nome de|a nombre de|posiadacz|ausgestellt für|issued to|belongs to)", regex.I)
-PHONE_LEFT = regex.compile(r"(?:tel|telefon|telefone|teléfono|phone|call|ring|number is|mobile|fax|anrufen|dzwonić|llame|ligue|bitte|reach|dial|whatsapp|móvil|handy)\b[^\n]{0,8}$|\($", regex.I)
+# Patterns of what stands before a span are read backwards from it (R). What a number is of, if not of a person; words begin where a word begins.
+NUMBER_OTHER = regex.compile(
+    r"\b(?:serial|meter|order|drawing|permit|part|article|invoice|batch|unit|tag|model|asset|ticket|lot|plan|sn|reading|line|account|reference|version|case|claim|policy"
+    r"|serien|auftrags?|zähler|rechnungs?|zamówieni[ea]|licznika?|faktur[ay]|pedido|medidor|factura|encomenda|fatura|série|serie)(?:nummer|nr)?\b\W{0,3}(?:no|number|nr|nummer|numer|número)?\W{0,3}$",
+    regex.I | regex.R,
+)
+ID_LEFT = regex.compile(
+    r"\b(?:(?:national|personal|tax|health|social security|social insurance|insurance|identity|identification|id|citizen|driving licen[cs]e|passport)(?: (?:number|card|document|no|id))+|national id|passport|id|ssn|sin|nino"
+    r"|(?:personal|reise)?(?:ausweis|pass)(?:nummer|nr)?|steuer-?id|sozialversicherungsnummer|pesel|dow[oó]d(?:u|em)?(?: osobist[a-z]+)?|paszport[a-z]*|(?:numer )?dokument[a-z]*"
+    r"|documento(?: de identi[a-z]+)?|cédula|cpf|dni|nie|nif|rg|pasaporte|passaporte|bilhete(?: de identidade)?|identi(?:dad|dade)"
+    r"|(?:form|file|record|register|certificate|application|licen[cs]e) (?:lists|shows|states|gives|names|reads|says|has))\b[^\n.]{0,12}$",
+    regex.I | regex.R,
+)
+ID_RIGHT = regex.compile(r"[,;)]?\s*(?:as the (?:holder|owner|bearer|applicant)|em nome de|a nombre de|posiadacz|ausgestellt für|issued to|belong(?:s|ing) to)", regex.I)
+PHONE_LEFT = regex.compile(r"\b(?:tel|telefon|telefone|teléfono|phone|call|ring|number is|mobile|fax|anrufen|dzwonić|llame|ligue|bitte|reach|dial|whatsapp|móvil|handy)\b[^\n]{0,8}$|\($", regex.I | regex.R)
+# Words for people by what they do, and what is said before and behind a person's name, by language.
+_ROLES = (
+    "engineer|operator|technician|inspector|foreman|manager|supervisor|electrician|fitter|welder|driver|clerk|colleague|director|secretary|nurse|teacher|lawyer|resident|neighbou?r|witness|tenant|employee|officer|contractor|visitor|caller|applicant"
+    "|ingenieur(?:in)?|techniker(?:in)?|leiter(?:in)?|kolleg(?:e|in)|mitarbeiter(?:in)?|inżynier|kierownik|operatork?a?|pracownik|pracownica"
+    "|ingenier[oa]|técnic[oa]|operador[a]?|jef[ea]|vecin[oa]|engenheir[oa]|chefe|colega"
+)
+_TITLES = "mr|mrs|ms|miss|mx|dr|prof|sir|herrn?|frau|pani?|pana|panem|panią|sr|sra|srta|señora?|senhora?|don|dona|doña"
+ROLE = regex.compile(rf"(?:{_ROLES})\b", regex.I)
 NAME_LEFT = regex.compile(
-    r"(?:\b(?:Engineer|Ingenieurin?|Inżynier|Ingenier[oa]|Engenheir[oa]|Technician|Inspector|Foreman|Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Herrn?|Frau|[Pp]ani?|Sr|Sra|Señora?|Senhora?|Don|Dona|Doña)\.?"
-    r"|\b(?:issued to|duty was|go to|ask for|speak to|signed by|work for|works for|reply to|according to our colleague|on behalf of|regards,|thanks,|cheers,|sincerely,)"
-    r"|\b(?:Signed|Contact|Gate log|Attn|Name|Author|Holder|Kontakt|Contacto|Contato|Ansprechpartner|Unterschrift|Firma|Podpis|Podpisano|Assinado|Firmado)\s?:"
-    r"|\b(?:Schichtleitung hatte|Rückfragen an|ausgestellt für|gezeichnet|kierować do:?|kierował[a]?|posiadacz|prosić|dirigió|preguntar por|a nombre de|Consultas a|chefiado por|falar com|em nome de|Dúvidas com))\s*$",
-    regex.I,
+    rf"(?:\b(?:{_TITLES}|{_ROLES})\.?"
+    r"|\b(?:issued|addressed|sent|assigned|speak|talk|write|reply|repl(?:y|ies)|belongs?|according|refer|forward|go(?:es)?|given|handed) to|\b(?:ask|asked|work|works|worked|look) for|\bon behalf of|\bour colleague"
+    r"|\b(?:signed|led|approved|written|prepared|chaired|headed|checked|run) by|\b(?:on (?:duty|call|site|shift)|in charge|responsible|present) (?:was|is|were)|\bmy name is|\bi am"
+    r"|\b(?:regards|thanks|thank you|cheers|sincerely|truly|wishes|grüßen|grüße|saludos|atentamente|atenciosamente|obrigad[oa]|pozdrawiam),?"
+    r"|\b(?:signed|contact|log|logbook|visitors?|attn|attention|name|author|holder|owner|caller|from|kontakt|contacto|contato|ansprechpartner(?:in)?|unterschrift|verfasser|firmado|firma|autor|podpis|podpisano|assinado|nombre|nome|imię i nazwisko)\s?:"
+    r"|\p{L}*(?:leitung|aufsicht|bereitschaft|dienst) (?:hatte|hat|war|übernahm)|\b(?:rückfragen|anfragen|fragen|grüße) an|\bausgestellt (?:für|auf)|\bgezeichnet"
+    r"|\bkierował[a]?|\b(?:kierować|dzwonić|pisać) do:?|\bposiadacz(?:ka)?|\bprosić|\bpodpisał[a]?"
+    r"|\b(?:dirigió|dirigido por|firmado por)|\b(?:consultas|preguntas) a|\bpreguntar por|\ba (?:nombre|cargo) de"
+    r"|\b(?:chefiado|assinado|dirigido) por|\b(?:falar|dúvidas|contato) com|\bem nome de)\s*$",
+    regex.I | regex.R,
 )
 NAME_RIGHT = regex.compile(
-    r"^(?:,? (?:national id|identity number|shift lead|plant manager|lives at|geboren|born)\b| \((?:\+\d|0\d{3}|\(\d{3}\)|\d{3}[.-]\d{3}[.-]\d{4}))", regex.I
+    r"(?:,? (?:(?:national|personal) id|(?:identity|id|passport) (?:number|no)|passport|pesel|cpf|dni|shift lead|plant manager|resident of|geboren|born|aged \d|ur\.|nacid[oa]|nascid[oa])\b"
+    r"| (?:lives|lived|resides|wohnt|mieszka|vive|mora)\b"
+    r"| (?:called|phoned|rang|said|says|told|asked|wrote|emailed|replied|complained|apologi[sz]ed|sagte|rief|schrieb|bat|fragte|powiedział[a]?|zadzwonił[a]?|napisał[a]?|poprosił[a]?|dijo|llamó|escribió|pidió|disse|ligou|escreveu|pediu)\b"
+    r"| \((?:\+\d|0\d{3}|\(\d{3}\)|\d{3}[.-]\d{3}[.-]\d{4}))",
+    regex.I,
 )
 _TO_MAIL = regex.compile(r",? (?:at )?")
-NAME_OTHER_LEFT = regex.compile(r"\b(?:the|at|of|for|Unit|near|Na|Im|W)\s$|named after \w* ?$")
+NAME_OTHER_LEFT = regex.compile(r"\b(?:the|at|of|for|unit|near|in|na|im|w|en|no|em)\s$|\bnamed after \w* ?$", regex.I | regex.R)
 NAME_OTHER_RIGHT = regex.compile(
-    r"^(?:\s?(?:&|and Sons)|,? (?:hydro|power|solar|wind|nuclear|scheme|station|plant|farm|dam|reservoir|ltd|inc|gmbh|plc|llc|partners|avenue|road|lane|street|drive|close|foundation)\b)", regex.I
+    r"(?:\s?(?:&|and Sons)|,? (?:hydro|power|solar|wind|nuclear|scheme|station|plant|farm|dam|reservoir|ltd|inc|gmbh|plc|llc|partners|avenue|road|lane|street|drive|close|foundation)\b)", regex.I
 )
+# Words of grammar and of forms that a sentence begins with: never part of a name.
 _NOT_NAMES = frozenset(
-    "the this that these those unit order serial meter drawing permit line summary update note report contact tel telefon telefone teléfono phone badge gate signed questions send reply call my on in at re cc no net heat load crews reviewers honestly spare traffic according two all and for die der das den koordinaten las los as os coordenadas współrzędne na w o el la mr mrs ms dr herr frau pan pani".split()
+    """the this that these those there a an and or but for from with without at in on of to by as if it he she we you they i my our your his her their is was are were has had no not
+    one two all each every any some when while after before since unit order serial meter drawing permit line summary update note report contact tel telefon telefone teléfono phone fax mobile badge signed questions send reply call re cc mr mrs ms miss dr prof sir herr frau pan pani sr sra
+    according der die das den dem des ein eine und oder mit von im zu für laut nach bei las los el la un y o con por para del al de em na no os as um e do da com w i z do od po przez według""".split()
 )
 
 
+def _accounts(text: str) -> list[tuple[int, int]]:
+    """Where the text has numbers that a checksum confirms as accounts or cards."""
+    return [m.span() for shape, valid in ACCOUNTS for m in shape.finditer(text) if valid(m.group())]
+
+
+def number_score(shape: str, weight: float, text: str, start: int, end: int) -> float:
+    """Score of a number in a text as an identity number."""
+    left = (text, max(0, start - 40), start)
+    labelled, hinted = bool(ID_LEFT.match(*left)), bool(ID_RIGHT.match(text, end))
+    score = weight + LABEL * labelled + HINT * hinted + OTHER * bool(NUMBER_OTHER.match(*left))
+    valid = VALIDATORS.get(shape)
+    if valid is not None:
+        if not valid(text[start:end]):
+            score += REFUTED
+        elif labelled or hinted or shape not in FAINT:
+            score += CONFIRMED
+    return score
+
+
 def find_spans(text: str) -> list[Span]:
     """All accepted spans of a text, in order, without overlaps."""
     if not text:
@@ -180,39 +313,44 @@ def find_spans(text: str) -> list[Span]:
     if " at " in low or "at]" in low or "at)" in low or "at}" in low or "at>" in low or "@ " in low or "[@" in low or "(@" in low:
         if "dot" in low or "[.]" in low or "(.)" in low:
             out += [Span(m.start(), m.end(), "email", 0.95) for m in EMAIL_SPELT.finditer(text)]
-    for m in PHONE.finditer(text):
+    phones = list(PHONE.finditer(text))
+    numbers = [(name, weight, m) for name, shape, weight in ID_SHAPES for m in shape.finditer(text)]
+    held = _accounts(text) if phones or numbers else []
+    free = lambda a, b: all(b <= x or a >= y for x, y in held)
+    for m in phones:
         start, end = m.span()
         n = sum(c.isdigit() for c in m.group())
-        if not 7 <= n <= 15:
+        if not 7 <= n <= 15 or not free(start, end):
             continue
-        left = text[max(0, start - 30) : start]
-        score = 0.7 + 0.2 * bool(PHONE_LEFT.search(left)) - 0.6 * bool(NUMBER_OTHER.search(left)) - 0.4 * bool(ID_LEFT.search(left))
+        left = (text, max(0, start - 30), start)
+        score = 0.7 + 0.2 * bool(PHONE_LEFT.match(*left)) - 0.6 * bool(NUMBER_OTHER.match(*left)) - 0.4 * bool(ID_LEFT.match(*left))
         out.append(Span(start, end, "phone", score))
-    for shape, base in ID_SHAPES:
-        for m in shape.finditer(text):
-            left, right = text[max(0, m.start() - 40) : m.start()], text[m.end() : m.end() + 30]
-            score = base + 0.5 * bool(ID_LEFT.search(left)) + 0.5 * bool(ID_RIGHT.search(right)) + 0.1 * any_check(m.group())
-            score -= 0.7 * bool(NUMBER_OTHER.search(left))
-            out.append(Span(m.start(), m.end(), "national_id", score))
+    for name, weight, m in numbers:
+        if free(*m.span()):
+            out.append(Span(m.start(), m.end(), "national_id", number_score(name, weight, text, *m.span())))
     for street in STREETS:
+        if street is STREETS[1] and not _STREET_END.search(text):
+            continue
         out += [Span(m.start(), m.end(), "street_address", 0.9) for m in street.finditer(text)]
     blocks = {s.start for s in out if s.kind == "street_address"}
     at = 0
     while m := NAME.search(text, at):
         start, end = m.span()
-        left, right = text[max(0, start - 40) : start], text[end : end + 50]
+        left = (text, max(0, start - 60), start)
         at = start + 1
         while at < end and not (text[at - 1].isspace()):
             at += 1
-        words = regex.findall(r"\p{L}+", m.group())
+        words = _LETTERS.findall(m.group())
         if any(len(w) > 1 and w.lower() in _NOT_NAMES for w in words):
             continue
-        near = bool(NAME_LEFT.search(left))
+        said = NAME_LEFT.match(*left)
+        # in a line of capitals a word in capitals behind a role is just the next word
+        near = said is not None and not (m.group().isupper() and said.group().isupper() and "," not in m.group() and ROLE.match(said.group()))
         mail = _TO_MAIL.match(text, end)
-        after = bool(NAME_RIGHT.search(right)) or bool(mail and (EMAIL.match(text, mail.end()) or EMAIL_SPELT.match(text, mail.end())))
+        after = bool(NAME_RIGHT.match(text, end)) or bool(mail and (EMAIL.match(text, mail.end()) or EMAIL_SPELT.match(text, mail.end())))
         after |= text[end : end + 1] == "\n" and end + 1 in blocks
-        score = 0.1 + 0.7 * near + 0.6 * after - 0.6 * bool(NAME_OTHER_RIGHT.search(right))
-        score -= 0.4 * (not near and bool(NAME_OTHER_LEFT.search(left)))
+        score = 0.1 + 0.7 * near + 0.6 * after - 0.6 * bool(NAME_OTHER_RIGHT.match(text, end))
+        score -= 0.4 * (not near and bool(NAME_OTHER_LEFT.match(*left)))
         if score >= THRESHOLD:
             out.append(Span(start, end, "person_name", score))
             at = end
