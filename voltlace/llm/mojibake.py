@@ -1,23 +1,27 @@
 """Garbled text from a wrong character encoding (problem 1).
 
-Method. Every distinct clean word of the corpus is garbled under all
-encoding chains (and the case changes that may come before or after); the
-garbled forms are a table ``(key, original)``. The words of the records are
-hash-joined with it and replaced by verified originals. Words whose original
-occurs nowhere clean in the corpus cannot be in that table; a check of the
-word's own characters finds them, without restoring them.
+Method. Every distinct clean word of the corpus is garbled under all encoding
+chains (and the case changes that may come before or after); the garbled forms
+are a table ``(key, original)``. The words of the records are hash-joined with
+it and replaced by verified originals. A form is only made if it consists of
+signs that suspicious words hold, since no other can be joined.
+
+Words whose original occurs nowhere clean in the corpus cannot be in that
+table. Those that show damage by their own signs are undone sign by sign, by
+the garbled forms of the corpus' letters; what is left are words whose signs
+are lost. ``evidence`` tells the three apart: ``word``, ``signs``, ``marks``.
 
 Cases: null or blank names give no row; repeated rows each give their own
 row; a name of any length is handled whole; ``(?)`` is the compiler's remark
-and no damage. Ties between originals go to the better supported, then the
-alphabetically first one.
+and no damage; brackets, quotes and commas around a word do not hide it. Ties
+between originals go to the better supported, then the alphabetically first.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,12 +35,12 @@ SINGLE_BYTE = (
     "iso8859-7", "iso8859-9", "iso8859-16", "cp437", "cp850", "cp852", "cp866", "koi8-r", "mac-roman",
 )
 MULTI_BYTE = ("shift_jis", "euc_jp", "gb18030")
-UTF8_READ_AS = ("latin-1", "cp1252", "cp1250", "cp1251", "cp1254", "iso8859-2", "cp437", "cp850", "cp852", "cp866", "mac-roman", "mac-cyrillic", "mac-greek")
-READ_AS = ("latin-1", "cp1252", "cp1250", "cp1251", "cp437", "cp850", "mac-roman")
-TWICE = ("latin-1", "cp1252")
+READ_AS = ("latin-1", "cp1252", "cp1250", "cp1251", "cp1254", "iso8859-2", "cp437", "cp850", "cp852", "cp866", "mac-roman", "mac-cyrillic", "mac-greek")
+TWICE = ("latin-1", "cp1252", "cp1250", "cp437", "cp850", "mac-roman")
 
 _GONE = re.compile("[\x00-\x1f\x7f-\xa0\xad]")
-_WORD = re.compile(r"[^\W\d_]{3,}|[–—]")
+_WORD = re.compile(r"[^\W\d_]{2,}|[–—]")
+_EDGE = "()[]\"',;:"
 _SPLIT = re.compile("([ \t\r\n\u3000\u2003\u2007\u2009\u202f-]+)")
 _CASE_ODD = re.compile("[a-zß-öø-ÿ][À-ÖØ-ÞŒŠŽŸĂĄĆČĎĐĘĚĞĹĽŁŃŇŐŘŚŞŤŮŰŹŻȘȚ]|^[A-Z][À-ÖØ-ÞŒŸ][a-z]")
 _LEADS = re.compile("[ÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑ][\x80-\x9f\xa1-\xac\xae-\xbf]|Ã[\xa0\xad]|[ÃÅÄ][ŒœŸŽžŠš]|[ĂĹ][ŠŚŤŽŹšśťžźŁĄŞŻłąşĽľż]|ĆŻ")
@@ -72,8 +76,9 @@ def _byte(b: int, codec: str) -> str:
 
 
 # bytes are read one by one, so a chain acts sign by sign
-_CHAINS = [_Chain("utf-8", r) for r in UTF8_READ_AS] + [_Chain(t, r) for t in (*MULTI_BYTE, *SINGLE_BYTE) for r in READ_AS if r != t]
-_UTF8 = {g: _Chain("utf-8", g) for g in TWICE}
+_UTF8 = {r: _Chain("utf-8", r) for r in READ_AS}
+_CHAINS = [*_UTF8.values(), *(_Chain(t, r) for t in (*MULTI_BYTE, *SINGLE_BYTE) for r in READ_AS if r != t)]
+_TWO_STEPS = [(_UTF8[g], _UTF8[h]) for g in TWICE for h in TWICE]
 
 
 def key_of(word: str) -> str:
@@ -81,46 +86,73 @@ def key_of(word: str) -> str:
     return _GONE.sub("", word.lower().replace("µ", "μ").replace("ı", "i").replace("i̇", "i"))
 
 
-def _once(word: str) -> set[str]:
-    out = {s for chain in _CHAINS if "\x00" not in (s := word.translate(chain))}
-    for true in (*MULTI_BYTE, *SINGLE_BYTE[:4]):
+def bare(word: str) -> str:
+    """The word without brackets, quotes and commas around it."""
+    return word.strip(_EDGE) or word
+
+
+class Garbler:
+    """Makes the garbled forms of clean words; with an ``alphabet``, only those made of its signs.
+
+    Whether a chain's form of a sign lies in the alphabet is worked out once
+    per sign, as a set of bits, one for each chain.
+    """
+
+    def __init__(self, alphabet: frozenset[str] | None = None):
+        self.alphabet = alphabet
+        self.chains: list[Callable[[str], str]] = [lambda w, t=t: w.translate(t) for t in _CHAINS]
+        self.chains += [lambda w, g=g, h=h: w.translate(g).translate(h) for g, h in _TWO_STEPS]
+        self.all = (1 << len(self.chains)) - 1
+        self.bits: dict[str, int] = {}
+
+    def _fits(self, s: str) -> bool:
+        return self.alphabet is None or self.alphabet.issuperset(key_of(s))
+
+    def chains_of(self, sign: str) -> int:
+        """Bits of the chains that can have garbled the sign."""
+        found = self.bits.get(sign)
+        if found is None:
+            forms = [chain(sign) for chain in self.chains]
+            found = self.bits[sign] = sum(1 << k for k, f in enumerate(forms) if "\x00" not in f and self._fits(f))
+        return found
+
+    def forms(self, word: str) -> set[str]:
+        """Keys of all garbled forms of a clean word, without its own key."""
+        if word.isascii():
+            return set()
+        word = unicodedata.normalize("NFC", word)
+        out: set[str] = set()
+        for w in {word, word.upper(), word.lower()}:
+            left = self.all
+            for c in w:
+                if not c.isascii():
+                    left &= self.chains_of(c)
+            while left:
+                k = left.bit_length() - 1
+                left ^= 1 << k
+                out.add(self.chains[k](w))
+            out |= {s for s in _lossy(w) if self._fits(s)}
+        keys = {key_of(s) for s in out}
+        keys.discard(key_of(word))
+        keys.discard("")
+        return keys
+
+
+def _lossy(word: str) -> set[str]:
+    """Forms in which signs were lost: other encodings read as UTF-8, and text written or read as ASCII, also after a wrong reading."""
+    out = {word.encode().decode("ascii", "replace"), word.encode("ascii", "replace").decode(), "".join("??" if not c.isascii() else c for c in word)}
+    out |= {word.translate(_UTF8[g]).encode("ascii", "replace").decode() for g in TWICE}
+    for true in (*MULTI_BYTE, *SINGLE_BYTE):
         try:
             out.add(word.encode(true).decode("utf-8", "replace"))
         except UnicodeEncodeError:
             pass
-    out.add(word.encode().decode("ascii", "replace"))
-    out.add(word.encode("ascii", "replace").decode())
-    out.add("".join("??" if not c.isascii() else c for c in word))
     return out
 
 
 def garbled_forms(word: str) -> set[str]:
-    """Keys of all garbled forms of a clean word, without its own key."""
-    if word.isascii():
-        return set()
-    word = unicodedata.normalize("NFC", word)
-    out: set[str] = set()
-    for w in {word, word.upper(), word.lower()}:
-        first = _once(w)
-        out |= first
-        for g in _UTF8.values():
-            for h in _UTF8.values():
-                out.add(w.translate(g).translate(h))
-            out.add(w.translate(g).encode("ascii", "replace").decode())
-        # some signs only were garbled: each subset of a short word's signs
-        odd = [i for i, c in enumerate(w) if not c.isascii()]
-        if 2 <= len(odd) <= 5:
-            for forms in ([w[i].translate(g) for i in odd] for g in _UTF8.values()):
-                for mask in range(1, 2 ** len(odd) - 1):
-                    chars = list(w)
-                    for k, i in enumerate(odd):
-                        if mask >> k & 1:
-                            chars[i] = forms[k]
-                    out.add("".join(chars))
-    keys = {key_of(s) for s in out}
-    keys.discard(key_of(word))
-    keys.discard("")
-    return keys
+    """Keys of all garbled forms of a clean word."""
+    return Garbler().forms(word)
 
 
 def _odd_sign(c: str) -> bool:
@@ -180,7 +212,7 @@ def loud(word: str) -> bool:
 
 
 def is_clean(word: str) -> bool:
-    """Words that may be originals: three letters or more of one script, or a long dash, without a sign of damage."""
+    """Words that may be originals: two letters or more of one script, or a long dash, without a sign of damage."""
     if not _WORD.fullmatch(word) or loud(word) or unicodedata.normalize("NFKC", word) != word:
         return False
     return len({script(c) for c in word}) == 1
@@ -206,27 +238,30 @@ def word_table(names: DataFrame) -> DataFrame:
 
     def traits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf["key"] = [key_of(w) for w in pdf["word"]]
+            pdf["bare"] = [bare(w) for w in pdf["word"]]
+            pdf["key"] = [key_of(w) for w in pdf["bare"]]
             pdf["loud"] = [loud(w) for w in pdf["word"]]
-            pdf["clean"] = [is_clean(w) for w in pdf["word"]]
+            pdf["clean"] = [is_clean(w) for w in pdf["bare"]]
             pdf["plain"] = [w.isascii() for w in pdf["word"]]
             yield pdf
 
-    return found.mapInPandas(traits, "word string, n long, key string, loud boolean, clean boolean, plain boolean")
+    return found.mapInPandas(traits, "word string, n long, bare string, key string, loud boolean, clean boolean, plain boolean")
 
 
-def garble_table(clean: DataFrame, df: dict[str, int]) -> DataFrame:
+def garble_table(clean: DataFrame, df: dict[str, int], alphabet: frozenset[str] | None = None) -> DataFrame:
     """(key, original, support, rarest): the garbled forms of every distinct clean word.
 
     ``df`` tells in how many clean words a sign occurs; ``rarest`` is that of
-    the original's rarest sign.
+    the original's rarest sign. ``alphabet`` are the signs of the words that
+    the table will be joined with.
     """
 
     def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["key", "original", "support", "rarest"]
+        garbler = Garbler(alphabet)
         for pdf in batches:
             for lo in range(0, len(pdf), 500):
-                rows = [(k, w, n, rarest(w, df)) for w, n in zip(pdf["original"][lo : lo + 500], pdf["support"][lo : lo + 500]) for k in garbled_forms(w)]
+                rows = [(k, w, n, rarest(w, df)) for w, n in zip(pdf["original"][lo : lo + 500], pdf["support"][lo : lo + 500]) for k in garbler.forms(w)]
                 yield pd.DataFrame(rows, columns=columns).astype({"key": object, "original": object, "support": "int64", "rarest": "int64"})
 
     return clean.mapInPandas(forms, "key string, original string, support long, rarest long")
@@ -237,8 +272,14 @@ def rarest(word: str, df: dict[str, int]) -> int:
     return min((df.get(c, 1) for c in word.lower() if not c.isascii()), default=1 << 40)
 
 
+def signs_of(words: DataFrame, column: str) -> dict[str, int]:
+    """In how many of the words each sign beyond ASCII occurs: at most one row per sign of Unicode."""
+    signs = words.select(F.explode(F.array_distinct(F.split(F.lower(column), ""))).alias("c")).where("c > '\u007f'")
+    return {r[0]: r[1] for r in signs.groupBy("c").count().collect()}
+
+
 def find_garbled_words(words: DataFrame, clean: DataFrame, df: dict[str, int]) -> DataFrame:
-    """(word, original): damaged words; original is null where it cannot be told.
+    """(word, bare, original): damaged words; original is null where no clean word of the corpus is it.
 
     ``words`` is a :func:`word_table`, ``clean`` its clean words by key. Words
     that show damage take the best supported original; quiet ones (all letters
@@ -252,124 +293,136 @@ def find_garbled_words(words: DataFrame, clean: DataFrame, df: dict[str, int]) -
 
     # garbling is heavy for its few rows: spread it over all cores, also where the table is one small file
     cores = words.sparkSession.sparkContext.defaultParallelism
-    forms = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")).repartition(4 * cores), df)
-    suspects = words.where("loud or not plain").select("word", "key", "loud")
+    suspects = words.where("loud or (not plain and word not in ('–', '—'))").select("word", "bare", "key", "loud")
+    alphabet = frozenset(signs_of(suspects, "key")) | frozenset(map(chr, range(128)))
+    forms = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")).repartition(4 * cores), df, alphabet)
     own = clean.select("key", F.col("support").alias("own_support"), own_rarest("original").alias("own_rarest"))
-    hits = suspects.join(forms.hint("merge"), "key", "left").groupBy("word", "key", "loud").agg(F.max(F.struct("support", "rarest", "original")).alias("best"))
-    judged = hits.join(own.hint("merge"), "key", "left")
+    # words of which some signs only were garbled: what undoing them gives is looked up among the clean words
+    partly = partly_undone(signs_with_capitals(df))
+    undone = suspects.select(F.col("key").alias("form"), F.explode(partly("bare")).alias("key")).join(clean, "key").select(F.col("form").alias("key"), "original", "support", own_rarest("original").alias("rarest"))
+    forms = forms.unionByName(undone)
+    hits = suspects.join(forms, "key", "left").groupBy("word", "bare", "key", "loud").agg(F.max(F.struct("support", "rarest", "original")).alias("best"))
+    judged = hits.join(own, "key", "left")
     quiet = (
         F.col("own_support").isNull()
         | (F.col("own_rarest") * 4 < F.col("best.rarest"))
         | ((F.col("best.support") >= 2 * F.col("own_support")) & (F.col("own_rarest") <= F.col("best.rarest")))
     )
-    return judged.where(F.col("loud") | (F.col("best.original").isNotNull() & quiet)).select("word", F.col("best.original").alias("original"))
+    return judged.where(F.col("loud") | (F.col("best.original").isNotNull() & quiet)).select("word", "bare", F.col("best.original").alias("original"))
+
+
+def undone(word: str, table: dict[str, str], longest: int) -> str:
+    """The word with each sign that the table knows as garbled put back, the longest first."""
+    out, i = [], 0
+    while i < len(word):
+        for n in range(min(longest, len(word) - i), 0, -1):
+            if word[i : i + n] in table:
+                out.append(table[word[i : i + n]])
+                i += n
+                break
+        else:
+            out.append(word[i])
+            i += 1
+    return "".join(out)
 
 
 def undo_signs(word: str, inverse: list[dict[str, str]]) -> str | None:
-    """The word with each garbled sign put back by one chain, if that leaves a clean word."""
+    """The word with its garbled signs put back by one chain, if that leaves a word without a sign of damage."""
     for table in inverse:
-        longest = max(map(len, table), default=0)
-        out, i = [], 0
-        while i < len(word):
-            for n in range(min(longest, len(word) - i), 0, -1):
-                if word[i : i + n] in table:
-                    out.append(table[word[i : i + n]])
-                    i += n
-                    break
-            else:
-                out.append(word[i])
-                i += 1
-        if (s := "".join(out)) != word and not loud(s):
+        if (s := undone(word, table, max(map(len, table), default=0))) != word and not loud(s):
             return undo_signs(s, inverse) or s
     return None
 
 
 def inverse_tables(signs: list[str]) -> list[dict[str, str]]:
     """For each chain from UTF-8: garbled form of a sign -> the sign. ``signs`` are letters of Unicode, so this is bounded."""
-    out = []
-    for chain in _CHAINS[: len(UTF8_READ_AS)]:
-        out.append({c.translate(chain): c for c in signs})
-    for g in _UTF8.values():
-        for h in _UTF8.values():
-            out.append({c.translate(g).translate(h): c for c in signs})
-    return out
+    once = [{c.translate(chain): c for c in signs} for chain in _UTF8.values()]
+    return once + [{c.translate(g).translate(h): c for c in signs} for g, h in _TWO_STEPS]
+
+
+def signs_with_capitals(df: dict[str, int]) -> list[str]:
+    return sorted({x for c in df for x in (c, c.upper()) if len(x) == 1})
+
+
+def partly_undone(signs: list[str]):
+    """Column function: keys of what undoing a word's garbled signs gives, by each chain from UTF-8; no entry for most words."""
+
+    @F.pandas_udf("array<string>")
+    def keys(words: pd.Series) -> pd.Series:
+        tables = [(t, max(map(len, t), default=0)) for t in inverse_tables(signs)]
+        heads = {g[:2] for t, _ in tables for g in t if len(g) > 1}
+
+        def of(word: str) -> list[str]:
+            if not any(word[i : i + 2] in heads for i in range(len(word) - 1)):
+                return []
+            return sorted({key_of(s) for t, n in tables if (s := undone(word, t, n)) != word})
+
+        return words.map(of)
+
+    return keys
 
 
 def match_case(original: str, word: str) -> str:
+    """The original in the damaged word's case, as its ASCII letters tell it."""
     plain = [c for c in word if c.isascii() and c.isalpha()]
-    if word.isupper() or (len(plain) > 1 and all(c.isupper() for c in plain)):
+    if plain and all(c.isupper() for c in plain) and (len(plain) > 1 or word.isupper()):
         return original.upper()
-    return original.lower() if word.islower() else original
-
-
-WORDS_AT_HAND = 200_000
+    return original.lower() if plain and word.islower() else original
 
 
-def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None, words_at_hand: int = WORDS_AT_HAND) -> DataFrame:
-    """``rows`` with ``garbled`` (whether the name is damaged) and ``restored`` (its original; null where a word's is unknown).
+def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None) -> DataFrame:
+    """``rows`` with ``garbled`` (whether the name is damaged), ``restored`` (its original; null where a word's is unknown) and ``evidence``.
 
     ``rows`` has a name and any other columns. ``corpus(name)`` are further
     names whose clean words may be originals. ``cut`` writes a table once and
-    reads it back. Damaged words are handed to the tasks if there are at most
-    ``words_at_hand`` of them (some 20 MB); else names are split, joined with
-    them and put together again.
+    reads it back. Names are split, their words joined with the damaged ones,
+    and only names that hold one are put together again.
     """
     cut = cut or (lambda df: df)
     alln = rows.select("name") if corpus is None else rows.select("name").unionByName(corpus.select("name"))
     words = cut(word_table(alln.where("name is not null").groupBy("name").agg(F.count("*").alias("n"))))
-    clean = cut(words.where("clean").groupBy("key").agg(F.max_by("word", F.struct("n", "word")).alias("original"), F.sum("n").alias("support")))
-    # one row per letter of Unicode that occurs: bounded
-    df = {r[0]: r[1] for r in clean.select(F.explode(F.array_distinct(F.split(F.lower("original"), ""))).alias("c")).where("c > '\u007f'").groupBy("c").count().collect()}
-    signs = sorted({x for c in df for x in (c, c.upper()) if len(x) == 1})
-    damaged = cut(find_garbled_words(words, clean, df))
-
-    def mend(word: str, original: str | None, inverse: list) -> str | None:
-        return undo_signs(word, inverse) if original is None else match_case(original, word)
-
-    some = damaged.limit(words_at_hand + 1).collect()
-    if len(some) <= words_at_hand:
-        inverse = inverse_tables(signs)
-        sent = rows.sparkSession.sparkContext.broadcast({w: mend(w, o, inverse) for w, o in some})
-
-        def whole(name: str | None) -> tuple[bool, str | None]:
-            if name is None or (name.isascii() and not _ASCII_ODD.search(name)):  # no word of it can be among the suspects
-                return False, None
-            parts = split_name(name)
-            hits = [w in sent.value for w in parts[::2]]
-            if not any(hits):
-                return False, None
-            fixed = [sent.value[w] if h else w for w, h in zip(parts[::2], hits)]
-            if None in fixed:
-                return True, None
-            parts[::2] = fixed
-            return True, "".join(parts)
-
-        @F.pandas_udf("struct<garbled boolean, restored string>")
-        def judge(names: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([whole(x) for x in names], columns=["garbled", "restored"])
-
-        return rows.withColumn("__r", judge("name")).select(*rows.columns, "__r.garbled", "__r.restored")
+    clean = cut(words.where("clean").groupBy("key").agg(F.max_by("bare", F.struct("n", "bare")).alias("original"), F.sum("n").alias("support")))
+    df = signs_of(clean, "original")
+    signs = signs_with_capitals(df)
+
+    @F.pandas_udf("struct<fixed string, evidence string>")
+    def mend(word: pd.Series, bare_word: pd.Series, original: pd.Series) -> pd.DataFrame:
+        out, inverse = [], None
+        for w, b, o in zip(word, bare_word, original):
+            if o is not None:
+                out.append((w.replace(b, match_case(o, b), 1), "word"))
+                continue
+            inverse = inverse or inverse_tables(signs)
+            s = undo_signs(w, inverse)
+            out.append((s, "signs" if s is not None else "marks"))
+        return pd.DataFrame(out, columns=["fixed", "evidence"], dtype=object)
+
+    damaged = cut(find_garbled_words(words, clean, df).select("word", mend("word", "bare", "original").alias("m")).select("word", "m.*"))
 
     @F.pandas_udf("array<string>")
     def split(s: pd.Series) -> pd.Series:
-        return s.map(split_name)
+        return s.map(lambda x: sorted({w for w in split_name(x)[::2] if w}))
 
     @F.pandas_udf("string")
-    def mended(word: pd.Series, original: pd.Series) -> pd.Series:
-        inverse = inverse_tables(signs)
-        return pd.Series([mend(w, o, inverse) for w, o in zip(word, original)], dtype=object)
-
-    fixes = damaged.select("word", mended("word", "original").alias("original"), F.lit(True).alias("hit"))
-    names = rows.select("name").where("name is not null").distinct().select("name", F.posexplode(split("name")).alias("i", "word"))
-    put = (
-        names.join(fixes, "word", "left")
+    def put(name: pd.Series, fixes: pd.Series) -> pd.Series:
+        def whole(x: str, fs) -> str | None:
+            fixed = {f["word"]: f["fixed"] for f in fs}
+            if None in fixed.values():
+                return None
+            parts = split_name(x)
+            parts[::2] = [fixed.get(w, w) for w in parts[::2]]
+            return "".join(parts)
+
+        return pd.Series([whole(x, fs) for x, fs in zip(name, fixes)], dtype=object)
+
+    # a name without a sign beyond ASCII or of the odd ASCII ones holds no suspect
+    may = F.col("name").rlike("[^\\x00-\\x7F]") | F.col("name").rlike(_ASCII_ODD.pattern.replace("[^\\W\\d_]", "[A-Za-z]"))
+    names = rows.select("name").where(may).distinct().select("name", F.explode(split("name")).alias("word"))
+    # at most the words of one name come together
+    fixed = (
+        names.join(damaged, "word")
         .groupBy("name")
-        .agg(
-            F.max("hit").alias("hit"),
-            F.max(F.col("hit") & F.col("original").isNull()).alias("lost"),
-            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("original", "word").alias("w")))), lambda x: x["w"]), "").alias("all"),
-        )
-        .where("hit")
-        .select("name", F.lit(True).alias("garbled"), F.when(~F.coalesce("lost", F.lit(False)), F.col("all")).alias("restored"))
+        .agg(F.collect_list(F.struct("word", "fixed")).alias("fixes"), F.min("evidence").alias("evidence"))
+        .select("name", F.lit(True).alias("garbled"), put("name", "fixes").alias("restored"), "evidence")
     )
-    return rows.join(put, "name", "left").select(*rows.columns, F.coalesce("garbled", F.lit(False)).alias("garbled"), "restored")
+    return rows.join(fixed, "name", "left").select(*rows.columns, F.coalesce("garbled", F.lit(False)).alias("garbled"), "restored", "evidence")
