@@ -22,7 +22,9 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,29 +93,63 @@ def bare(word: str) -> str:
     return word.strip(_EDGE) or word
 
 
+PAIR_BITS = 1 << 20
+
+
+def pair_bit(pair: str) -> int:
+    return crc32(pair.encode("utf-8", "surrogatepass")) & (PAIR_BITS - 1)
+
+
 class Garbler:
-    """Makes the garbled forms of clean words; with an ``alphabet``, only those made of its signs.
+    """Makes the garbled forms of clean words; with ``pairs``, only those that may be made of known pairs of neighbouring signs.
 
-    Whether a chain's form of a sign lies in the alphabet is worked out once
-    per sign, as a set of bits, one for each chain.
+    ``pairs`` is a bitmap of fixed size, by the pairs' hash, of the words that
+    the forms will be joined with; ``^`` and ``$`` stand for their ends. Which
+    chains can have garbled a sign beside a given neighbour is worked out once
+    per sign and neighbour, as a set of bits, one for each chain.
     """
 
-    def __init__(self, alphabet: frozenset[str] | None = None):
-        self.alphabet = alphabet
+    def __init__(self, pairs: bytes | None = None):
+        self.pairs = pairs
         self.chains: list[Callable[[str], str]] = [lambda w, t=t: w.translate(t) for t in _CHAINS]
         self.chains += [lambda w, g=g, h=h: w.translate(g).translate(h) for g, h in _TWO_STEPS]
         self.all = (1 << len(self.chains)) - 1
+        self.signs: dict[str, list[tuple[int, str]]] = {}
         self.bits: dict[str, int] = {}
+        self.known: dict[str, bool] = {}
+
+    def _pair(self, pair: str) -> bool:
+        seen = self.known.get(pair)
+        if seen is None:
+            seen = self.known[pair] = bool(self.pairs[pair_bit(pair)])
+        return seen
 
     def _fits(self, s: str) -> bool:
-        return self.alphabet is None or self.alphabet.issuperset(key_of(s))
+        if self.pairs is None:
+            return True
+        s = f"^{s}$"
+        return all(self._pair(s[i : i + 2]) for i in range(len(s) - 1))
 
-    def chains_of(self, sign: str) -> int:
-        """Bits of the chains that can have garbled the sign."""
-        found = self.bits.get(sign)
+    def _sign(self, sign: str) -> list[tuple[int, str]]:
+        """(bit, form) of the chains that can have garbled the sign, wherever it stands."""
+        found = self.signs.get(sign)
         if found is None:
-            forms = [chain(sign) for chain in self.chains]
-            found = self.bits[sign] = sum(1 << k for k, f in enumerate(forms) if "\x00" not in f and self._fits(f))
+            found = self.signs[sign] = []
+            for k, chain in enumerate(self.chains):
+                raw = chain(sign)
+                f = key_of(raw)
+                if "\x00" not in raw and (self.pairs is None or all(self._pair(f[i : i + 2]) for i in range(len(f) - 1))):
+                    found.append((1 << k, f))
+        return found
+
+    def _beside(self, left: str, sign: str, right: str) -> int:
+        """Bits of the chains that can have garbled the sign between two neighbours; an empty one is not looked at."""
+        found = self.bits.get(at := f"{left}\n{sign}\n{right}")
+        if found is None:
+            forms = self._sign(sign)
+            if self.pairs is not None:  # of a form without signs nothing is known
+                forms = [(b, f) for b, f in forms if not f or ((not left or self._pair(left + f[0])) and (not right or self._pair(f[-1] + right)))]
+            found = self.bits[at] = sum(b for b, _ in forms)
         return found
 
     def forms(self, word: str) -> set[str]:
@@ -124,18 +160,18 @@ class Garbler:
         out: set[str] = set()
         for w in {word, word.upper(), word.lower()}:
             left = self.all
-            for c in w:
-                if not c.isascii():
-                    left &= self.chains_of(c)
+            x = f"^{w}$"
+            for i in range(1, len(x) - 1):
+                if not x[i].isascii():
+                    before, after = (c.lower() if c.isascii() else "" for c in (x[i - 1], x[i + 1]))
+                    left &= self._beside(before, x[i], "") & self._beside("", x[i], after)
             while left:
                 k = left.bit_length() - 1
                 left ^= 1 << k
                 out.add(self.chains[k](w))
-            out |= {s for s in _lossy(w) if self._fits(s)}
-        keys = {key_of(s) for s in out}
-        keys.discard(key_of(word))
-        keys.discard("")
-        return keys
+            out |= _lossy(w)
+        own = key_of(word)
+        return {k for s in out if (k := key_of(s)) and k != own and self._fits(k)}
 
 
 def _lossy(word: str) -> set[str]:
@@ -248,17 +284,16 @@ def word_table(names: DataFrame) -> DataFrame:
     return found.mapInPandas(traits, "word string, n long, bare string, key string, loud boolean, clean boolean, plain boolean")
 
 
-def garble_table(clean: DataFrame, df: dict[str, int], alphabet: frozenset[str] | None = None) -> DataFrame:
+def garble_table(clean: DataFrame, df: dict[str, int], pairs: bytes | None = None) -> DataFrame:
     """(key, original, support, rarest): the garbled forms of every distinct clean word.
 
     ``df`` tells in how many clean words a sign occurs; ``rarest`` is that of
-    the original's rarest sign. ``alphabet`` are the signs of the words that
-    the table will be joined with.
+    the original's rarest sign. ``pairs``: see :class:`Garbler`.
     """
 
     def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["key", "original", "support", "rarest"]
-        garbler = Garbler(alphabet)
+        garbler = Garbler(pairs)
         for pdf in batches:
             for lo in range(0, len(pdf), 500):
                 rows = [(k, w, n, rarest(w, df)) for w, n in zip(pdf["original"][lo : lo + 500], pdf["support"][lo : lo + 500]) for k in garbler.forms(w)]
@@ -278,6 +313,16 @@ def signs_of(words: DataFrame, column: str) -> dict[str, int]:
     return {r[0]: r[1] for r in signs.groupBy("c").count().collect()}
 
 
+def pairs_of(words: DataFrame) -> bytes:
+    """Bitmap of the pairs of neighbouring signs in the words' keys: at most ``PAIR_BITS`` numbers come to the driver, however many words there are."""
+    framed = F.concat(F.lit("^"), "key", F.lit("$"))
+    pairs = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("key") + 1), lambda i: F.substring(framed, i, F.lit(2)))).alias("pair"))
+    bits = pairs.select(F.pmod(F.crc32(F.encode("pair", "UTF-8")), F.lit(PAIR_BITS)).cast("int").alias("bit")).distinct().toPandas()["bit"].to_numpy()
+    out = np.zeros(PAIR_BITS, np.uint8)
+    out[bits] = 1
+    return out.tobytes()
+
+
 def find_garbled_words(words: DataFrame, clean: DataFrame, df: dict[str, int]) -> DataFrame:
     """(word, bare, original): damaged words; original is null where no clean word of the corpus is it.
 
@@ -294,8 +339,7 @@ def find_garbled_words(words: DataFrame, clean: DataFrame, df: dict[str, int]) -
     # garbling is heavy for its few rows: spread it over all cores, also where the table is one small file
     cores = words.sparkSession.sparkContext.defaultParallelism
     suspects = words.where("loud or (not plain and word not in ('–', '—'))").select("word", "bare", "key", "loud")
-    alphabet = frozenset(signs_of(suspects, "key")) | frozenset(map(chr, range(128)))
-    forms = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")).repartition(4 * cores), df, alphabet)
+    forms = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")).repartition(4 * cores), df, pairs_of(suspects))
     own = clean.select("key", F.col("support").alias("own_support"), own_rarest("original").alias("own_rarest"))
     # words of which some signs only were garbled: what undoing them gives is looked up among the clean words
     partly = partly_undone(signs_with_capitals(df))
@@ -350,12 +394,15 @@ def partly_undone(signs: list[str]):
     @F.pandas_udf("array<string>")
     def keys(words: pd.Series) -> pd.Series:
         tables = [(t, max(map(len, t), default=0)) for t in inverse_tables(signs)]
-        heads = {g[:2] for t, _ in tables for g in t if len(g) > 1}
+        heads: dict[str, set[int]] = {}
+        for k, (t, _) in enumerate(tables):
+            for g in t:
+                if len(g) > 1:
+                    heads.setdefault(g[:2], set()).add(k)
 
         def of(word: str) -> list[str]:
-            if not any(word[i : i + 2] in heads for i in range(len(word) - 1)):
-                return []
-            return sorted({key_of(s) for t, n in tables if (s := undone(word, t, n)) != word})
+            may = set().union(*(heads.get(word[i : i + 2], ()) for i in range(len(word) - 1) if not word[i].isascii()))
+            return sorted({key_of(s) for k in may if (s := undone(word, *tables[k])) != word})
 
         return words.map(of)
 
