@@ -127,8 +127,14 @@ class Garbler:
     def _fits(self, s: str) -> bool:
         if self.pairs is None:
             return True
-        s = f"^{s}$"
-        return all(self._pair(s[i : i + 2]) for i in range(len(s) - 1))
+        last, known = "^", self.known
+        for c in s + "$":
+            pair = last + c
+            seen = known.get(pair)
+            if not (self._pair(pair) if seen is None else seen):
+                return False
+            last = c
+        return True
 
     def _sign(self, sign: str) -> list[tuple[int, str]]:
         """(bit, form) of the chains that can have garbled the sign, wherever it stands."""
@@ -158,7 +164,9 @@ class Garbler:
             return set()
         word = unicodedata.normalize("NFC", word)
         out: set[str] = set()
-        for w in {word, word.upper(), word.lower()}:
+        # keys have no case: in lower case the word differs from itself only by signs beyond ASCII
+        lower = () if all(c.isascii() or c.islower() == c.isalpha() for c in word) else (word.lower(),)
+        for w in {word, word.upper(), *lower}:
             left = self.all
             x = f"^{w}$"
             for i in range(1, len(x) - 1):
@@ -168,7 +176,7 @@ class Garbler:
             while left:
                 k = left.bit_length() - 1
                 left ^= 1 << k
-                out.add(self.chains[k](w))
+                out.add(self.chains[k](w).lower())
             out |= _lossy(w)
         own = key_of(word)
         return {k for s in out if (k := key_of(s)) and k != own and self._fits(k)}
