@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from voltlace.llm import confusables as C
 from voltlace.llm import mojibake as M
@@ -57,19 +58,33 @@ def test_garbled_forms_cover_chains():
 
 VARIANTS = {
     "Ｐower Ⅱ": "Power II", "Bo​gu": "Bogu", "a\xa0b": "a b", "Púz": "Púz", "Loca‐South": "Loca-South", "рower рlant": "power plant", "Ea\xadst": "East", "ﬁrst": "first", "Ри́декиво"[:2] + "дeкиво": "Ридекиво",
-    "ｸモゲ": "クモゲ", "Unit А": "Unit A", "　x": " x",
+    "ｸモゲ": "クモゲ", "Lоndоn Ꮩale": "London Vale", "Bаձa": "Baձa", "Ｒiver 𝐀": "River A", "Cаfё": "Cafë", "Unit А": "Unit A", "　x": " x",
 }
 
 
 @pytest.mark.parametrize("name,form", VARIANTS.items())
 def test_variants(name, form):
-    assert C.is_variant(name) and C.canonical(name) == form
+    assert C.canonical(name) == form != name
     assert C.skeleton(name) == C.skeleton(form)
 
 
 @pytest.mark.parametrize("name", ["Łużóstok", "Ридекиво B01", "Καγαμαπολι", "クモゲヤマ発電所", "Plain – Energy Park", "  two  spaces ", "MiXed Case", "TPP_Ридекиво"])
 def test_sound_names_are_no_variants(name):
-    assert not C.is_variant(name)
+    assert C.canonical(name) == name
+
+
+def test_lookalike_table_is_unicodes():
+    table = C.lookalikes()
+    assert len(table) > 6000 and table["а"] == "a" and table["ο"] == "o" and table["Ꭺ"] == "A" and table["ꓑ"] == "P" and table["𝟎"] == "O"
+    assert C.in_script("Ꮩ", "LATIN") == "V" and C.in_script("ё", "LATIN") == "ë" and C.in_script("П", "LATIN") is None and C.in_script("e", "CYRILLIC") == "е"
+
+
+def test_cases_come_from_skeleton_groups(spark, monkeypatch):
+    rows = spark.createDataFrame([("t", i, n) for i, n in enumerate(["Bogu Il", "Bоgu Il", "Bogu I1", "Bogu lI"])], "table_name string, row_id long, name string")
+    names, groups = C.grouped(rows)
+    assert {r.name for r in C.variants(names, groups).collect()} == {"Bоgu Il"} and groups.select("skeleton").distinct().count() == 1
+    # without skeletons there are no groups, and without groups no name is known as a sound one or not
+    assert C.variants(names.withColumn("skeleton", F.lit(None).cast("string")), groups).count() == 4 and C.variants(names.limit(0), groups).count() == 0
 
 
 def test_unify(spark):

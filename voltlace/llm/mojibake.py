@@ -268,17 +268,18 @@ def split_name(name: str) -> list[str]:
 
 
 def word_table(names: DataFrame) -> DataFrame:
-    """Distinct words of the distinct names, with the rows that hold them, their key, and whether they are clean or loud."""
+    """Distinct words of ``names(name, n, asked)``, with the rows that hold them, their key, and whether they are asked about, clean or loud."""
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows: dict[str, int] = {}
-            for name, n in zip(pdf["name"], pdf["n"]):
+            rows: dict[str, tuple[int, bool]] = {}
+            for name, n, asked in zip(pdf["name"], pdf["n"], pdf["asked"]):
                 for w in {w for w in split_name(name)[::2] if w}:
-                    rows[w] = rows.get(w, 0) + int(n)
-            yield pd.DataFrame({"word": list(rows), "n": list(rows.values())}, columns=["word", "n"]).astype({"word": object, "n": "int64"})
+                    m, a = rows.get(w, (0, False))
+                    rows[w] = (m + int(n), a or asked)
+            yield pd.DataFrame([(w, n, a) for w, (n, a) in rows.items()], columns=["word", "n", "asked"]).astype({"word": object, "n": "int64", "asked": bool})
 
-    found = names.mapInPandas(words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = names.mapInPandas(words, "word string, n long, asked boolean").groupBy("word").agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
 
     def traits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -289,7 +290,7 @@ def word_table(names: DataFrame) -> DataFrame:
             pdf["plain"] = [w.isascii() for w in pdf["word"]]
             yield pdf
 
-    return found.mapInPandas(traits, "word string, n long, bare string, key string, loud boolean, clean boolean, plain boolean")
+    return found.mapInPandas(traits, "word string, n long, asked boolean, bare string, key string, loud boolean, clean boolean, plain boolean")
 
 
 def garble_table(clean: DataFrame, df: dict[str, int], pairs: bytes | None = None) -> DataFrame:
@@ -346,7 +347,7 @@ def find_garbled_words(words: DataFrame, clean: DataFrame, df: dict[str, int]) -
 
     # garbling is heavy for its few rows: spread it over all cores, also where the table is one small file
     cores = words.sparkSession.sparkContext.defaultParallelism
-    suspects = words.where("loud or (not plain and word not in ('–', '—'))").select("word", "bare", "key", "loud")
+    suspects = words.where("asked and (loud or not plain and word not in ('–', '—'))").select("word", "bare", "key", "loud")
     forms = garble_table(clean.where(F.col("original").rlike("[^\\x00-\\x7F]")).repartition(4 * cores), df, pairs_of(suspects))
     own = clean.select("key", F.col("support").alias("own_support"), own_rarest("original").alias("own_rarest"))
     # words of which some signs only were garbled: what undoing them gives is looked up among the clean words
@@ -434,8 +435,10 @@ def repair_names(rows: DataFrame, corpus: DataFrame | None = None, cut=None) ->
     and only names that hold one are put together again.
     """
     cut = cut or (lambda df: df)
-    alln = rows.select("name") if corpus is None else rows.select("name").unionByName(corpus.select("name"))
-    words = cut(word_table(alln.where("name is not null").groupBy("name").agg(F.count("*").alias("n"))))
+    alln = rows.select("name", F.lit(True).alias("asked"))
+    if corpus is not None:
+        alln = alln.unionByName(corpus.select("name", F.lit(False).alias("asked")))
+    words = cut(word_table(alln.where("name is not null").groupBy("name").agg(F.count("*").alias("n"), F.max("asked").alias("asked"))))
     clean = cut(words.where("clean").groupBy("key").agg(F.max_by("bare", F.struct("n", "bare")).alias("original"), F.sum("n").alias("support")))
     df = signs_of(clean, "original")
     signs = signs_with_capitals(df)

@@ -7,10 +7,11 @@ import unicodedata
 from functools import lru_cache
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltlace.llm.confusables import canonical
+from voltlace.llm.confusables import adopt, canonical, lookalikes
 
 # Words for the kind of plant or site, in the languages of the feeds. Fixed values.
 TYPE_WORDS = frozenset(
@@ -133,10 +134,16 @@ def sound(base: str) -> str:
 _PARSED = T.StructType([T.StructField(c, T.StringType()) for c in ("base", "quals", "name_fuel", "sound")])
 
 
-@F.pandas_udf(_PARSED)
-def parse_names(names: pd.Series) -> pd.DataFrame:
-    parsed = [parse(n) for n in names]
-    return pd.DataFrame([(*p, sound(p[0]) if p[0] else None) for p in parsed], columns=["base", "quals", "name_fuel", "sound"], dtype=object)
+def parse_names(name: str) -> Column:
+    table = dict(lookalikes())
+
+    @F.pandas_udf(_PARSED)
+    def parsed(names: pd.Series) -> pd.DataFrame:
+        adopt(table)
+        rows = [parse(n) for n in names]
+        return pd.DataFrame([(*p, sound(p[0]) if p[0] else None) for p in rows], columns=["base", "quals", "name_fuel", "sound"], dtype=object)
+
+    return parsed(name)
 
 
 def stands_in(name: str, hint: str) -> bool:
@@ -175,9 +182,15 @@ def unit_key(label: str | None) -> str | None:
     return f"{kind}{_ROMAN.get(word, word)}"
 
 
-@F.pandas_udf(T.StringType())
-def unit_keys(labels: pd.Series) -> pd.Series:
-    return labels.map(unit_key)
+def unit_keys(label: str) -> Column:
+    table = dict(lookalikes())
+
+    @F.pandas_udf(T.StringType())
+    def keys(labels: pd.Series) -> pd.Series:
+        adopt(table)
+        return labels.map(unit_key)
+
+    return keys(label)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

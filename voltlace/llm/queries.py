@@ -21,14 +21,21 @@ def name_rows(spark: SparkSession, d: str, gppd: bool) -> DataFrame:
     return rows
 
 
+def _corpus(spark: SparkSession, d: str) -> DataFrame:
+    """Names of all columns: their clean words are what garbled ones may have been."""
+    x = table(spark, d, "unified_plant_crosswalk")
+    return name_rows(spark, d, gppd=True).select("name").unionByName(x.select(F.col("ref_matched_name").alias("name")))
+
+
 def _repaired(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
-    """``rows`` with ``garbled`` and ``restored``; all name columns serve as the corpus of clean words."""
+    """``rows`` (whose names are of the corpus) with ``garbled`` and ``restored``."""
     x = table(spark, d, "unified_plant_crosswalk")
     return mojibake.repair_names(rows, x.select(F.col("ref_matched_name").alias("name")), cut)
 
 
 def _garbled(spark: SparkSession, d: str) -> DataFrame:
-    return _repaired(spark, d, name_rows(spark, d, gppd=True)).where("garbled and table_name <> 'gppd'").drop("garbled")
+    corpus = table(spark, d, "gppd").select("name").unionByName(table(spark, d, "unified_plant_crosswalk").select(F.col("ref_matched_name").alias("name")))
+    return mojibake.repair_names(name_rows(spark, d, gppd=False), corpus, cut).where("garbled").drop("garbled")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -40,13 +47,18 @@ def p1_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """Variants among the rows that are no cases of p1 (names of gppd never are)."""
-    rows = _repaired(spark, d, name_rows(spark, d, gppd=True)).where("not garbled or table_name = 'gppd'")
-    return confusables.unify(rows.select("table_name", "row_id", "name")).where("variant").select("table_name", "row_id")
+    """Rows whose name its skeleton's group has not among its sound forms, but for the cases of p1 (names of gppd never are)."""
+    rows = name_rows(spark, d, gppd=True)
+    names, _ = confusables.grouped(rows)
+    names = cut(names)
+    odd = cut(confusables.variants(names, names.groupBy("skeleton", "form").agg(F.sum("n").alias("n"))).select("name"))
+    # only these names are asked about; their originals are looked for in the whole corpus
+    judged = mojibake.repair_names(odd, _corpus(spark, d), cut).select("name", "garbled")
+    return rows.join(judged, "name").where("not garbled or table_name = 'gppd'").select("table_name", "row_id")
 
 
 def p3_unified(spark: SparkSession, d: str) -> DataFrame:
-    return confusables.unify(name_rows(spark, d, gppd=True))
+    return confusables.unify(name_rows(spark, d, gppd=True), cut)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
