@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_root: dict[str, str] = {}
 _cleaned: set[str] = set()
+_written: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -22,9 +25,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_root:
-        _own_root[app] = "file://" + tempfile.mkdtemp(prefix="voltlace-ckpt-")
+        made = tempfile.mkdtemp(prefix="voltlace-ckpt-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _own_root[app] = f"file://{made}"
     return _own_root[app]
 
 
@@ -54,7 +61,17 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = f"{_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _written[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Deletes the table that :func:`cut` wrote for ``df``, once nothing reads it any more; other tables stay."""
+    ref, path = _written.pop(id(df), (lambda: None, ""))
+    if ref() is df:
+        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
