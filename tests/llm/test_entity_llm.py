@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import itertools
+import random
+import time
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from voltlace.llm import entity, survivor
@@ -63,12 +66,39 @@ def test_belief_propagation_is_exact_on_trees_and_near_on_loops(spark):
     loop = [("a1", "b1", G, P, 20.0), ("a1", "b2", G, P, 1.0), ("a2", "b1", G, P, 2.0), ("a2", "b2", G, P, 9.0)]
     for pairs, near in ((tree, 0.01), (loop, 0.08)):
         df = spark.createDataFrame(pairs, "a string, b string, table_a string, table_b string, odds double")
-        got = {(r.a, r.b, r.table_b): r.marginal for r in entity.propagate(df, cut, 60, 1e-6).collect()}
+        got = {(r.a, r.b, r.table_b): r.marginal for r in entity.propagate(df, cut, 120, 1e-4).collect()}
         for p, m in zip(pairs, exact_marginals(pairs)):
             assert abs(got[p[0], p[1], p[3]] - m) < near
     assert entity.propagate(df.limit(0), cut).count() == 0
 
 
+def test_message_rounds_that_do_not_settle_are_reported(spark):
+    loop = [("a1", "b1", G, P, 20.0), ("a1", "b2", G, P, 1.0), ("a2", "b1", G, P, 2.0), ("a2", "b2", G, P, 9.0), ("a9", "b9", G, P, 9.0)]
+    df = spark.createDataFrame(loop, "a string, b string, table_a string, table_b string, odds double")
+    with pytest.warns(UserWarning, match="after 1 rounds"):
+        got = {r.a: r.settled for r in entity.propagate(df, cut, 1).collect()}
+    assert got == {"a1": False, "a2": False, "a9": True}
+
+
+def test_block_of_many_combinations():
+    """Time grows with their number: 100,000 combinations of one name, most without coordinates of use."""
+    rng = random.Random(4)
+    one = lambda i, t: {"combo": i, "table_name": t, "base": "santa", "country": rng.choice(["BRA", "CHL", None]), "state": rng.choice(["s%d" % rng.randint(0, 30), None]), "fuel": rng.choice(["hydro", "wind", None]), "n": 1}
+    rows = [one(i, rng.choice((G, P, X))) | ({"la": round(rng.uniform(-60, 60), 2), "lo": round(rng.uniform(-90, 90), 2)} if i % 3 else {"la": None, "lo": None}) for i in range(100_000)]
+    began = time.process_time()
+    members, pairs = entity.judge_block("santa", rows)
+    assert len(members) == len({m for m, _ in members}) == 100_000 and len(pairs) < 40 * 100_000
+    assert time.process_time() - began < 120
+
+
+def test_plant_of_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(entity, "SLICE", 7)
+    rows = [(G, i, "Bogusawa power station", "JPN", "Kita", "coal", 40.0, 140.0) for i in range(60)] + [(P, 1000 + i, "BOGUSAWA", "JPN", None, "coal", 40.0, 140.0) for i in range(9)]
+    rows += [(G, 2000 + i, f"Place{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]} plant", "JPN", None, "coal", 1.0 + i, 1.0) for i in range(99)]
+    got = entity.match(rows_of(spark, rows), cut).select("id_a", "id_b").collect()
+    assert len(got) == len(set(got)) == 60 * 9 and {r.id_a for r in got} == set(range(60))
+
+
 GEM = "gem_row_id long, unit_id string, project_name string, unit_name string, country string, subnational string, fuel string, capacity string, technology string, status string, latitude double, longitude double, record_source string, last_updated timestamp, plant string, unit string"
 
 

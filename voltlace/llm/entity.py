@@ -6,17 +6,20 @@ tell of one place are a mention of it. Mentions of different tables that share
 a name block are candidate pairs, with odds from several noisy attributes.
 Loopy belief propagation over these pairs, with the factor that a mention has
 at most one partner in each other table, exchanges messages through joins and
-aggregations until they stand still; the marginal of a pair is its confidence.
+aggregations until they stand still, with more damping the longer that takes;
+the marginal of a pair is its confidence. ``settled`` is false for pairs whose
+messages still moved after ``ROUNDS`` rounds, of which a warning tells, too.
 Pairs with a marginal of ``ACCEPT`` or more are expanded to the rows of both.
 
 Scale. A plant that a third of all rows describe is a handful of combinations,
-since rows are aggregated (with partial sums) before anything is paired. A
-block is judged from its combinations - map points to a hundredth of a degree,
-regions, fuels - never from its rows; within it, mentions meet through map
-cells and regions, not all with all. Only pairs that compete with others take
-part in the message rounds. Every round's state is written to the shared folder.
-Joins are sort-merge joins by hint: sides that happen to be small would else be
-built into hash tables on the driver, a dozen at a time.
+since rows are aggregated (with partial sums) before anything is paired, and
+its rows are expanded in slices of ``SLICE``. A block is judged from its
+combinations - map points to a hundredth of a degree, regions, fuels - of one
+place name, never from its rows, in time that grows with their number: within
+it, mentions with coordinates meet through map cells, of which each holds few
+places, and those without by country, one for each kind of region and fuel.
+Only pairs that compete with others take part in the message rounds; a round
+writes its state to the shared folder and the last round's table is dropped.
 
 Cases: rows without a usable name are matched to nothing; coordinates that are
 missing, out of range or (0, 0) count as unknown, mirrored or swapped ones are
@@ -28,6 +31,7 @@ tables give no pairs.
 from __future__ import annotations
 
 import math
+import warnings
 from collections import Counter, defaultdict
 from collections.abc import Callable
 
@@ -37,13 +41,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltlace.llm.names import deletions, look_alike, parse_names, stand_in, within_one_edit
+from voltlace.session import release
 
 ACCEPT = 0.5
 NEAR = 0.12  # degrees within which coordinates mean the same site
 FAR = 0.36
-ROUNDS = 30
+ROUNDS = 120
 STILL = 1e-3
-DAMPING = 0.5
+DAMPING = (0.5, 0.75, 0.9, 0.97)  # for each quarter of the rounds
+SLICE = 1000
 
 # log-odds of the evidence
 PRIOR = 1.5
@@ -125,37 +131,42 @@ def block_spellings(combos: DataFrame, cut: Callable[[DataFrame], DataFrame]) ->
     rank = lambda s: F.struct(F.col(f"{s}.n"), F.col(f"{s}.sound"))
     up = cut(
         parts.alias("a")
-        .join(parts.alias("b").hint("merge"), (F.col("a.part") == F.col("b.part")) & (F.col("a.quals") == F.col("b.quals")) & (rank("a") < rank("b")))
+        .join(parts.alias("b"), (F.col("a.part") == F.col("b.part")) & (F.col("a.quals") == F.col("b.quals")) & (rank("a") < rank("b")))
         .groupBy(F.col("a.sound").alias("sound"), F.col("a.quals").alias("quals"), F.col("b.sound").alias("other"))
         .agg(F.max("b.n").alias("n"))
         .where(within_one_edit("sound", "other"))
         .groupBy("sound", "quals")
         .agg(F.max_by("other", F.struct("n", "other")).alias("up"))
     )
-    # two steps reach the frequent spelling also from a spelling of a spelling
-    twice = up.select("sound", "quals", "up").join(up.select(F.col("sound").alias("up"), "quals", F.col("up").alias("top")).hint("merge"), ["up", "quals"], "left")
-    named = twice.select("sound", "quals", F.coalesce("top", "up").alias("up"))
-    return combos.join(named.hint("merge"), ["sound", "quals"], "left").withColumn("block", F.concat_ws(" ", F.coalesce("up", "sound"), F.nullif("quals", F.lit("")))).drop("up")
+    # pointers double their reach until all point to a spelling that points nowhere; ranks rise along them, so there is no circle
+    top = F.col("top")
+    while True:
+        far = cut(up.alias("a").join(up.select(F.col("sound").alias("up"), "quals", F.col("up").alias("top")), ["up", "quals"], "left").select("sound", "quals", F.coalesce(top, "up").alias("up"), top.isNotNull().alias("moved")))
+        moved = far.where("moved").limit(1).count()
+        up = far.drop("moved")
+        if not moved:
+            break
+    return combos.join(up, ["sound", "quals"], "left").withColumn("block", F.concat_ws(" ", F.coalesce("up", "sound"), F.nullif("quals", F.lit("")))).drop("up")
 
 
 def rejoin_lonely(combos: DataFrame) -> DataFrame:
     """Combinations whose block only one table knows join the block of a like spelling (two edits, lost signs) at the same site."""
     tables = combos.groupBy("block").agg((F.min("table_name") == F.max("table_name")).alias("lonely"))
     cell = lambda c: F.floor(F.col(c) * 20).cast("int")
-    points = combos.where("la is not null").join(tables.hint("merge"), "block").groupBy("block", "sound", "quals", "la", "lo", "lonely").agg(F.sum("n").alias("n")).withColumn("ca", cell("la")).withColumn("co", cell("lo"))
+    points = combos.where("la is not null").join(tables, "block").groupBy("block", "sound", "quals", "la", "lo", "lonely").agg(F.sum("n").alias("n")).withColumn("ca", cell("la")).withColumn("co", cell("lo"))
     steps = F.explode(F.array(*[F.struct(F.lit(i).alias("da"), F.lit(j).alias("do")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     lonely = points.where("lonely").withColumn("d", steps).withColumn("ca", F.col("ca") + F.col("d.da")).withColumn("co", F.col("co") + F.col("d.do"))
     rank = lambda s: F.struct(~F.col(f"{s}.lonely"), F.col(f"{s}.n"), F.col(f"{s}.block"))
     moved = (
         lonely.alias("x")
-        .join(points.alias("y").hint("merge"), ["ca", "co", "quals"])
+        .join(points.alias("y"), ["ca", "co", "quals"])
         .where((F.col("x.block") != F.col("y.block")) & (rank("y") > rank("x")) & (F.abs(F.col("x.la") - F.col("y.la")) < 0.03) & (F.abs(F.col("x.lo") - F.col("y.lo")) < 0.03))
         .select(F.col("x.block").alias("block"), F.col("x.sound").alias("s"), F.col("y.sound").alias("t"), F.col("y.block").alias("new"), F.col("y.n").alias("n"))
         .where(look_alike("s", "t"))
         .groupBy("block")
         .agg(F.max_by("new", F.struct("n", "new")).alias("new"))
     )
-    return combos.join(moved.hint("merge"), "block", "left").withColumn("block", F.coalesce("new", "block")).drop("new")
+    return combos.join(moved, "block", "left").withColumn("block", F.coalesce("new", "block")).drop("new")
 
 
 # -- one block ----------------------------------------------------------------
@@ -177,9 +188,12 @@ class _Map:
     def add(self, p: _Place) -> None:
         self.cells[math.floor(p.la / FAR), math.floor(p.lo / FAR)].append(p)
 
-    def near(self, la: float, lo: float) -> list[_Place]:
+    def near(self, la: float, lo: float, reach: float = NEAR) -> list[_Place]:
+        """Places within ``reach`` in both directions; degrees of longitude shrink towards the poles."""
+        wide = reach / max(0.1, math.cos(math.radians(la)))
         a, o = math.floor(la / FAR), math.floor(lo / FAR)
-        return [p for i in (-1, 0, 1) for j in (-1, 0, 1) for p in self.cells.get((a + i, o + j), ()) if abs(p.la - la) <= NEAR and abs(p.lo - lo) <= NEAR / max(0.1, math.cos(math.radians(la)))]
+        steps = math.ceil(wide / FAR)
+        return [p for i in (-1, 0, 1) for j in range(-steps, steps + 1) for p in self.cells.get((a + i, o + j), ()) if abs(p.la - la) <= reach and abs(p.lo - lo) <= wide]
 
 
 def _places(points: Counter) -> dict[tuple[float, float], _Place]:
@@ -232,6 +246,9 @@ class _Mention:
         return _common(self.says[c])
 
 
+KIND = ("country", "state", "fuel")
+
+
 def _clash(a: str | None, b: str | None) -> bool:
     return a is not None and b is not None and a != b
 
@@ -258,46 +275,52 @@ def judge_block(block: str, rows: list[dict]) -> tuple[list[tuple[int, str]], li
         m = mentions.setdefault((r["table_name"], f"{p.la:g}/{p.lo:g}"), _Mention(r["table_name"], f"{p.la:g}/{p.lo:g}", p))
         m.hear(r)
         members.append((r["combo"], m.key))
-    placed: dict[str, list[tuple[_Mention, dict]]] = defaultdict(list)
+    # rows without a place are taken by kind: country, state and fuel. They join their table's fitting place, else one another
+    best_of: dict[str, dict[tuple, _Mention]] = defaultdict(dict)
     for m in mentions.values():
-        placed[m.table].append((m, {c: m.common(c) for c in ("country", "state", "fuel")}))
-    # rows without a place join their table's fitting place, else those of the same region, else one another
+        kind = tuple(m.common(c) for c in KIND)
+        if (old := best_of[m.table].get(kind)) is None or (m.n, m.key) > (old.n, old.key):
+            best_of[m.table][kind] = m
     for table, rs in loose.items():
-        left = []
+        kinds: dict[tuple, list[dict]] = defaultdict(list)
         for r in rs:
-            fits = [(2 * _same(r["state"], says["state"]) + _same(r["fuel"], says["fuel"]), m.n, m.key, m) for m, says in placed[table] if not any(_clash(r[c], says[c]) for c in says)]
+            kinds[tuple(r[c] for c in KIND)].append(r)
+        left = []
+        for kind, same in kinds.items():
+            fits = [(2 * _same(kind[1], k[1]) + _same(kind[2], k[2]), m.n, m.key) for k, m in best_of[table].items() if not any(map(_clash, kind, k))]
             if fits:
-                best = max(fits, key=lambda x: x[:3])[3]
-                members.append((r["combo"], best.key))
+                members += [(r["combo"], max(fits)[2]) for r in same]
             else:
-                left.append(r)
-        # the fullest rows first, each to the first mention that nothing it says contradicts
+                left.append((kind, same))
+        # the fullest kinds first, each to the first mention that nothing it says contradicts
         apart: list[_Mention] = []
-        for r in sorted(left, key=lambda r: (-sum(r[c] is not None for c in ("country", "state", "fuel")), -r["n"], r["combo"])):
-            m = next((m for m in apart if not any(_clash(r[c], m.common(c)) for c in ("country", "state", "fuel"))), None)
+        for kind, same in sorted(left, key=lambda x: (-sum(c is not None for c in x[0]), -sum(r["n"] for r in x[1]), min(r["combo"] for r in x[1]))):
+            m = next((m for m in apart if not any(_clash(k, m.common(c)) for c, k in zip(KIND, kind))), None)
             if m is None:
                 m = mentions[table, f"?{len(apart)}"] = _Mention(table, f"?{len(apart)}", None)
                 apart.append(m)
-            m.hear(r)
-            members.append((r["combo"], m.key))
+            for r in same:
+                m.hear(r)
+                members.append((r["combo"], m.key))
     # candidate pairs
     ms = list(mentions.values())
     says = {id(m): {c: m.common(c) for c in m.says} for m in ms}
-    at, of_place, of_state = _Map(), defaultdict(list), defaultdict(list)
+    at, of_place, of_country = _Map(), defaultdict(list), defaultdict(list)
     for m in ms:
         if m.place is not None:
             if id(m.place) not in of_place:
                 at.add(m.place)
             of_place[id(m.place)].append(m)
-            if says[id(m)]["state"] is not None:
-                of_state[says[id(m)]["state"]].append(m)
+        of_country[says[id(m)]["country"]].append(m)
     pairs = []
     for m in ms:
-        if m.place is None:
-            others = ms
+        # beyond FAR, or in another country and without a place, no evidence could make a pair more likely than not
+        country = says[id(m)]["country"]
+        if m.place is not None:
+            others = [x for p in at.near(m.place.la, m.place.lo, FAR) for x in of_place[id(p)]]
         else:
-            others = [x for p in at.near(m.place.la, m.place.lo) for x in of_place[id(p)]] + of_state.get(says[id(m)]["state"], [])
-        for x in {id(o): o for o in others}.values():
+            others = ms if country is None else of_country[country] + of_country[None]
+        for x in others:
             if x.table == m.table or (x.table < m.table and (m.place is None) == (x.place is None)) or (m.place is not None and x.place is None):
                 continue
             a, b = (m, x) if m.table < x.table else (x, m)
@@ -354,23 +377,32 @@ def propagate(pairs: DataFrame, cut: Callable[[DataFrame], DataFrame], rounds: i
     keys = ["table_a", "table_b"]
     ka = sums(first, "a", "from_b").select("a", *keys, F.col("k").alias("ka"))
     kb = sums(first, "b", "from_a").select("b", *keys, F.col("k").alias("kb"))
-    state = cut(first.join(ka.hint("merge"), ["a", *keys]).join(kb.hint("merge"), ["b", *keys]).withColumn("alone", (F.col("ka") == 1) & (F.col("kb") == 1)).drop("ka", "kb"))
+    state = cut(first.join(ka, ["a", *keys]).join(kb, ["b", *keys]).withColumn("alone", (F.col("ka") == 1) & (F.col("kb") == 1)).drop("ka", "kb"))
     alone = state.where("alone").select("a", "b", *keys, (F.col("odds") / (1 + F.col("odds"))).alias("marginal"))
     state = state.where("not alone").drop("alone")
 
-    def free(s: DataFrame, node: str, incoming: str, out: str) -> DataFrame:
+    def free(s: DataFrame, node: str, incoming: str, out: str, damping: float) -> DataFrame:
         rest = F.greatest(F.col("total") - F.col("odds") * F.col(incoming), F.lit(0.0))
-        return s.join(sums(s, node, incoming).drop("k").hint("merge"), [node, *keys]).withColumn(out, DAMPING * F.col(out) + (1 - DAMPING) / (1 + rest)).drop("total")
-
-    for _ in range(rounds):
-        s = free(state.withColumn("old_a", F.col("from_a")).withColumn("old_b", F.col("from_b")), "a", "from_b", "from_a")
-        s = free(s, "b", "from_a", "from_b")
-        s = cut(s.withColumn("moved", F.greatest(F.abs(F.col("from_a") - F.col("old_a")), F.abs(F.col("from_b") - F.col("old_b")))).drop("old_a", "old_b"))
-        state = s.drop("moved")
-        if (s.agg(F.max("moved")).first()[0] or 0.0) <= still:
+        return s.join(sums(s, node, incoming).drop("k"), [node, *keys]).withColumn(out, damping * F.col(out) + (1 - damping) / (1 + rest)).drop("total")
+
+    state = state.withColumn("moved", F.lit(1.0))
+    written = None
+    for k in range(rounds):
+        damping = DAMPING[k * len(DAMPING) // rounds]
+        s = free(state.withColumn("old_a", F.col("from_a")).withColumn("old_b", F.col("from_b")), "a", "from_b", "from_a", damping)
+        s = free(s, "b", "from_a", "from_b", damping)
+        state = cut(s.withColumn("moved", F.greatest(F.abs(F.col("from_a") - F.col("old_a")), F.abs(F.col("from_b") - F.col("old_b")))).drop("old_a", "old_b"))
+        if written is not None:
+            release(written)
+        written = state
+        most = state.agg(F.max("moved")).first()[0] or 0.0
+        if most <= 2 * still * (1 - damping):
             break
+    else:
+        warnings.warn(f"messages still move by {most:.2g} after {rounds} rounds; see the column settled", stacklevel=2)
     belief = F.col("odds") * F.col("from_a") * F.col("from_b")
-    return alone.unionByName(state.select("a", "b", *keys, (belief / (1 + belief)).alias("marginal")))
+    rest = state.select("a", "b", *keys, (belief / (1 + belief)).alias("marginal"), (F.col("moved") <= 2 * still).alias("settled"))
+    return alone.withColumn("settled", F.lit(True)).unionByName(rest)
 
 
 def resolve(rows: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -381,18 +413,30 @@ def resolve(rows: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> tuple[Dat
     lists = rejoin_lonely(blocked).groupBy("block").agg(F.collect_list(F.struct("combo", "table_name", "base", "country", "state", "fuel", "la", "lo", "n")).alias("combos"))
     judged = cut(lists.select(_judge("block", "combos").alias("j")).select("j.*"))
     of_combo = judged.select(F.explode("members").alias("m")).select("m.*")
-    members = parsed.select("table_name", "row_id", "combo").join(of_combo.hint("merge"), "combo").drop("combo")
+    members = parsed.select("table_name", "row_id", "combo").join(of_combo, "combo").drop("combo")
     return members, judged.select(F.explode("pairs").alias("p")).select("p.*")
 
 
+def slices(n: Column) -> Column:
+    """How many slices a mention of ``n`` rows is expanded in."""
+    return F.ceil(n / SLICE).cast("int")
+
+
 def match(rows: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(id_a, id_b, confidence): row pairs of different tables that mean the same plant."""
+    """(id_a, id_b, confidence, settled): row pairs of different tables that mean the same plant.
+
+    The rows of both sides are in slices, and each slice of one side meets
+    each of the other, so a mention that holds most rows is no single task.
+    """
     members, pairs = resolve(rows, cut)
     accepted = propagate(pairs, cut).where(F.col("marginal") >= ACCEPT)
-    a = members.select(F.col("table_name").alias("table_a"), F.col("mention").alias("a"), F.col("row_id").alias("row_a"))
-    b = members.select(F.col("table_name").alias("table_b"), F.col("mention").alias("b"), F.col("row_id").alias("row_b"))
-    return (
-        accepted.join(a.hint("merge"), ["table_a", "a"])
-        .join(b.hint("merge"), ["table_b", "b"])
-        .select(F.least("row_a", "row_b").alias("id_a"), F.greatest("row_a", "row_b").alias("id_b"), F.col("marginal").alias("confidence"))
-    )
+    sizes = members.groupBy("table_name", "mention").agg(slices(F.count("*")).alias("parts"))
+    sliced = members.join(sizes, ["table_name", "mention"]).withColumn("slice", F.pmod(F.xxhash64("row_id"), "parts").cast("int")).drop("parts")
+    out = accepted
+    for s in ("a", "b"):
+        named = sizes.select(F.col("table_name").alias(f"table_{s}"), F.col("mention").alias(s), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias(f"slice_{s}"))
+        out = out.join(named, [f"table_{s}", s])
+    for s in ("a", "b"):
+        held = sliced.select(F.col("table_name").alias(f"table_{s}"), F.col("mention").alias(s), F.col("slice").alias(f"slice_{s}"), F.col("row_id").alias(f"row_{s}"))
+        out = out.join(held, [f"table_{s}", s, f"slice_{s}"])
+    return out.select(F.least("row_a", "row_b").alias("id_a"), F.greatest("row_a", "row_b").alias("id_b"), F.col("marginal").alias("confidence"), "settled")
