@@ -114,16 +114,21 @@ def gem_rows(spark):
     return gem, members
 
 
-def test_unit_pairs_and_survivors(spark):
+def test_unit_pairs_and_survivors(spark, monkeypatch):
     gem, members = gem_rows(spark)
     groups = survivor.unit_groups(gem, members)
-    assert {tuple(r) for r in survivor.duplicate_pairs(groups).collect()} == {(1, 2), (1, 3), (2, 3), (6, 7)}
     sources = spark.createDataFrame([("good", 1), ("bad", 2)], "record_source string, trust_rank int")
-    best = {(r.plant, r.unit): r for r in survivor.surviving_units(gem, sources, groups).collect()}
+    records = survivor.surviving_units(gem, sources, groups)
+    for size in (1000, 1):
+        monkeypatch.setattr(survivor, "SLICE", size)
+        pairs = survivor.duplicate_pairs(records, groups).collect()
+        assert {tuple(r) for r in pairs} == {(1, 2), (1, 3), (2, 3), (6, 7)} and len(pairs) == 4
+    assert survivor.duplicate_pairs(records.limit(0), groups).count() == 0  # no survivor, no pairs
+    best = {(r.plant, r.unit): r for r in records.collect()}
     foo = best["foo@1", "u1"]
     assert (foo.country, foo.subnational, foo.capacity, foo.technology, foo.status, foo.latitude, foo.longitude, foo.n_rows) == ("XX", "S", "5", "CFB", "operating", 1.0, 2.0, 3)
     assert best["bar@1", "ua"].capacity == "7" and best["bar@1", "ua"].unit_id == "H1" and len(best) == 4
-    assert survivor.duplicate_pairs(survivor.unit_groups(gem.limit(0), members)).count() == 0
+    assert survivor.surviving_units(gem.limit(0), sources, survivor.unit_groups(gem.limit(0), members)).count() == 0
 
 
 def test_rows_without_a_place_survive(spark):

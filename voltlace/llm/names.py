@@ -92,17 +92,29 @@ def is_type(word: str) -> bool:
     return word in TYPE_WORDS or "".join(sorted(word)) in _MIXED_TYPES or (len(word) >= 4 and word not in QUALIFIERS and any(abs(len(t) - len(word)) <= 1 and t[0] == word[0] and one_edit(word, t) for t in _LONG_TYPES))
 
 
+_LABEL = re.compile(r"^\s*(?:GEM|GPPD)\s*:\s*", re.I)
+_BRACKETS = re.compile(r"\([^)]*\)?")
+_DASH = re.compile("\\s[–—-]\\s")
+_INITIALS = re.compile(r"(?<![a-z])(?:[a-z]\.){2,}")
+_PIECE = re.compile(r"[^\W_]+|\?+")
+_BLOCK = re.compile(r"b\d\d?")
+
+
 def parse(name: str | None) -> tuple[str | None, str | None, str | None]:
     """(base, qualifiers, fuel): the place's own word, what tells it from its namesakes, and a fuel the kind of plant implies."""
     if not name:
         return None, None, None
     s = canonical(name)
-    s = re.sub("\ufffd+", "?", s)
-    s = re.sub(r"^\s*(?:GEM|GPPD)\s*:\s*", "", s, flags=re.I)
-    s = re.sub(r"\([^)]*\)?", " ", s)
-    s = SITE_SUFFIX.sub("", s)
-    s = re.sub(r"(?<![a-z])(?:[a-z]\.){2,}", lambda m: m.group().replace(".", "") + " ", fold(s))
-    words = re.findall(r"[^\W_]+|\?+", s)
+    if "\ufffd" in s:
+        s = re.sub("\ufffd+", "?", s)
+    if ":" in s:
+        s = _LABEL.sub("", s)
+    if "(" in s:
+        s = _BRACKETS.sub(" ", s)
+    s = fold(SITE_SUFFIX.sub("", s) if _DASH.search(s) else s)
+    if "." in s:
+        s = _INITIALS.sub(lambda m: m.group().replace(".", "") + " ", s)
+    words = _PIECE.findall(s)
     glued: list[str] = []
     for w in words:  # a lost sign is part of its word
         if glued and (w[0] == "?" or glued[-1][-1] == "?"):
@@ -110,7 +122,7 @@ def parse(name: str | None) -> tuple[str | None, str | None, str | None]:
         else:
             glued.append(w)
     fuel = next((FUEL_WORDS[w] for w in glued if w in FUEL_WORDS), None)
-    kept = [w for w in glued if not is_type(w) and not re.fullmatch(r"b\d\d?", w)]
+    kept = [w for w in glued if not is_type(w) and not _BLOCK.fullmatch(w)]
     if not kept:
         return None, None, fuel
     return kept[0], " ".join(map(qualifier, kept[1:])), fuel

@@ -116,12 +116,19 @@ def _unit_groups(spark: SparkSession, d: str) -> DataFrame:
     return survivor.unit_groups(table(spark, d, "gem_database"), members)
 
 
+def _survivors(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    groups = cut(_unit_groups(spark, d))
+    return survivor.surviving_units(table(spark, d, "gem_database"), table(spark, d, "record_sources"), groups), groups
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return survivor.duplicate_pairs(_unit_groups(spark, d))
+    """Pairs of the rows that one surviving record stands for."""
+    best, groups = _survivors(spark, d)
+    return survivor.duplicate_pairs(cut(best), groups)
 
 
 def p4_survivors(spark: SparkSession, d: str) -> DataFrame:
-    return survivor.surviving_units(table(spark, d, "gem_database"), table(spark, d, "record_sources"), cut(_unit_groups(spark, d)))
+    return _survivors(spark, d)[0]
 
 
 QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p2_found": p2_found, "p2_matches": p2_matches, "p3_found": p3_found, "p3_unified": p3_unified, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p6_removal": p6_removal, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_redacted": p8_redacted}
