@@ -98,3 +98,58 @@ def test_candidates_and_evaluation(spark, files):
     checked = evaluation.check_matcher(known, stages.candidate_text(feeds, indexes, infos), matchers.OfflineMatcher)
     assert [(r.listed, r.passed) for r in checked.collect()] == [(True, True)] and evaluation.pass_rate(checked).first().rate == 1.0
     assert [(r.stage, r.cumulative) for r in evaluation.trial_funnel(resolved).orderBy("ord").collect()] == [("similar GEM", 1), ("model", 2), ("unmatched", 3)]
+
+
+def test_build_job_reads_published_files_and_goes_on_without_missing_ones(spark, files, capsys):
+    (files / "units.csv").write_text('Project Name,Unit Name,Country/Area,Fuel,Capacity,Technology,Unit ID,Latitude,Longitude\nKorba power station,1,India,coal: lignite,500 MW,USC,u1,22.0,82.0\n"Odd, place",1,India,gas,,,u2,x,\n')
+    (files / "lookup.csv").write_text("plant_code,plant_name\n7,Smith\n")
+    args = ["build", "--no-llm", "--units", str(files / "units.csv"), "--plants", str(files / "gone.csv"), "--feeds", str(files / "feeds"), "--lookup", str(files / "lookup.csv"), "--curated", str(files / "gone_too.csv"), "--out", str(files / "out")]
+    with pytest.warns(UserWarning, match="gone.csv is missing"):
+        assert cli.build(spark, cli.parser().parse_args(args)) == 0
+    assert "gone_too.csv is missing" in capsys.readouterr().out
+    rows = {r.plant_name: r for r in spark.read.parquet(str(files / "out")).collect()}
+    assert (rows["KORBA STPS"].ref_matched_name, rows["KORBA STPS"].coal_type, rows["KORBA STPS"].latitude) == ("Korba power station", "lignite", 22.0)
+    assert rows["Smith"].plant_code == "7" and rows["Smith"].matching_method is None
+    with pytest.raises(FileNotFoundError):
+        cli.build(spark, cli.parser().parse_args([*args[:-6], "--lookup", str(files / "gone.csv"), "--out", str(files / "out2")]))
+
+
+def test_trial_and_model_check_jobs(spark, files, capsys):
+    base = [x for n in ("units", "plants", "feeds", "lookup") for x in (f"--{n}", str(files / n))]
+    assert cli.trial(spark, cli.parser().parse_args(["trial", *base, "--out", str(files / "trial")])) == 0
+    assert "similar GEM" in capsys.readouterr().out and spark.read.parquet(str(files / "trial")).count() == 1
+    args = ["check-model", *base, "--known", str(files / "trial"), "--model", "tests.test_jobs:says_sakura"]
+    assert cli.check_model(spark, cli.parser().parse_args(args)) == 0 and "n_passed" in capsys.readouterr().out
+
+
+def test_retriever_and_exports(spark):
+    import voltlace
+
+    assert all(getattr(voltlace, n) is not None for n in voltlace.__all__)
+    source = lambda *names: spark.createDataFrame(list(zip(names, range(len(names)))), "name string, ord long")
+    r = voltlace.CandidateRetriever({"GEM": source("Korba TPS", "KORBA STPS", "Sipat", "Sipat"), "GPPD": source("Korba Block A")})
+    got = {x.plant_name: x.candidates for x in r.candidates(spark.createDataFrame([("Korba",)], "plant_name string"), 2).collect()}
+    assert got["Korba"].split("\n")[:2] == ["  GEM: Korba TPS (score: 100)", "  GPPD: Korba Block A (score: 100)"] and len(got["Korba"].split("\n")) == 3
+    assert r.all_candidates().first()[0].split("\n") == ["  GEM: Korba TPS", "  GEM: KORBA STPS", "  GEM: Sipat", "  GPPD: Korba Block A"]
+
+
+def test_cut_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from voltlace import session
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a"))
+    with pytest.raises(ValueError):
+        session.checkpoint_root(cluster)
+
+
+def test_cut_tables_are_released(spark):
+    from voltlace.session import cut, release
+
+    a, b = cut(spark.range(3).toDF("x")), cut(spark.range(2).toDF("x"))
+    path = a.inputFiles()[0]
+    release(a)
+    release(spark.range(1))  # nothing of cut: nothing happens
+    import os
+
+    assert not os.path.exists(path.removeprefix("file://")) and b.count() == 2

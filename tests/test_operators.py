@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from datetime import datetime
 
 import pytest
@@ -31,6 +33,24 @@ def test_top_matches_equal_brute_force_in_any_block_size(spark):
     assert top_matches(n.limit(0), c).count() == 0 and top_matches(n, c.limit(0)).count() == 0
 
 
+def test_lengths_rule_out_no_hit(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abc", k=rng.randint(1, 9)))
+    names = [("A", f"{word()} {word()}") for _ in range(40)] + [("A", "x" * 70)]
+    cat = [("A", k, f"n{i}", i) for i, k in enumerate([f"{word()} {word()}" for _ in range(60)] + ["x" * 66, "x" * 300])]
+    n, c = spark.createDataFrame(names, "grp string, key string"), spark.createDataFrame(cat, "grp string, key string, name string, ord long")
+    tidy = lambda k: " ".join(sorted(k.split()))
+    for cutoff in (80.0, 60.0):
+        want = {(k, o) for _, k in set(names) for _, x, _, o in cat if ratio(tidy(k), tidy(x)) >= cutoff}
+        assert {(r.key, r.ord) for r in top_matches(n, c, 99, cutoff).collect()} == want
+
+
+def test_scorer_of_ones_own(spark):
+    n, c = spark.createDataFrame([("A", "ab"), ("A", "xyz")], "grp string, key string"), spark.createDataFrame([("A", "abc", "n0", 0), ("A", "b", "n1", 1)], "grp string, key string, name string, ord long")
+    got = top_matches(n, c, 1, 50.0, scorer=lambda a, b: 100.0 * (a[0] == b[0]))
+    assert [(r.key, r.name, r.score) for r in got.collect()] == [("ab", "n0", 100.0)]
+
+
 def test_fold_units(spark):
     u = spark.createDataFrame(
         [("P", "wind", "5 MW", None, 1.0, 1.0, 0), ("P", "coal: lignite", "10 MW", "CFB", 2.0, 2.0, 1), ("P", "coal: bituminous", None, "USC", 3.0, 3.0, 2), ("P", "coal", "7", None, 4.0, 4.0, 3), ("Q", "gas", "9", "CFB", 5.0, None, 4), (None, "coal", "1", None, 0.0, 0.0, 5)],

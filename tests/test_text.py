@@ -39,7 +39,7 @@ def test_base_name_keeps_case(spark):
     "plant,matched,ok",
     [
         ("KORBA STPS", "Korba power station", True), ("Tucunare", "Tucunaré power station", True), ("CSP", "CSP power station", True), ("GNA I", "GNA I power station", True), ("Sol", "Sol", True),
-        ("TE_STANARI", "Stanari Thermal Power Plant", True), ("TPP_BOBOV_DOL", "Bobov Dol power station", True), ("Bełchatów B01".encode().decode("latin-1"), "Bełchatów", True),
+        ("GNA I", "GNA-I power station", True), ("BOBOV DOL", "Bobov_Dol", True), ("GNA I", "GNAI power station", False), ("TE_STANARI", "Stanari Thermal Power Plant", True), ("TPP_BOBOV_DOL", "Bobov Dol power station", True), ("Bełchatów B01".encode().decode("latin-1"), "Bełchatów", True),
         ("BHADRA HPS", "Bhandara power station", False), ("THERMAL POWER LTD", "Other Thermal Power", False), ("Altos", "Atos power station", False), ("", "x", False), (None, "x", False), ("a.c", "abc", False),
     ],
 )

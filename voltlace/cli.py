@@ -1,6 +1,8 @@
 """Command line: build the resolved table, publish the products.
 
-    spark-submit -m voltlace.cli build --units F --plants F --feeds F --lookup F [--curated F] --out DIR [--sources NPP EIA ...] [--model MODULE:FUNCTION | --no-llm] [--force] [--yes]
+    spark-submit -m voltlace.cli build --units F --plants F [--feeds F] --lookup F [--curated F] --out DIR [--sources NPP EIA ...] [--model MODULE:FUNCTION | --no-llm] [--force] [--yes]
+    spark-submit -m voltlace.cli trial --units F --plants F [--feeds F] [--sources NPP] [--model MODULE:FUNCTION] --out DIR
+    spark-submit -m voltlace.cli check-model --units F --plants F [--feeds F] [--sources NPP] --known DIR --model MODULE:FUNCTION [--n 10] [--seed 42]
     spark-submit -m voltlace.cli products --tracker DIR --out DIR
     spark-submit -m voltlace.cli publish --data DIR --out DIR [--schema-only | --data-only | --trial-only | --generators-only | --coal-only]
     spark-submit -m voltlace.cli drop-old
@@ -16,8 +18,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from voltlace.functions.domain import cost_estimate
+from voltlace.functions import text as X
 from voltlace.operators import reports
-from voltlace.plans import matchers, unified
+from voltlace.plans import evaluation, matchers, stages, unified
 from voltlace.session import cut
 from voltlace.sources import publish, readers
 
@@ -26,8 +29,11 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="voltlace")
     sub = p.add_subparsers(dest="job", required=True)
     b = sub.add_parser("build")
-    for name in ("units", "plants", "feeds", "lookup", "out"):
-        b.add_argument(f"--{name}", required=name != "lookup")
+    b.add_argument("--units", required=True, help="first catalogue: its CSV file, or parquet")
+    b.add_argument("--plants", required=True, help="second catalogue: its CSV file, or parquet")
+    b.add_argument("--feeds", help="names of the feeds as parquet; without it they are pulled from the database that the environment names")
+    b.add_argument("--lookup", help="plant codes and names of the American feed, parquet or CSV")
+    b.add_argument("--out", required=True)
     b.add_argument("--curated", help="list of units of the Indian feed: the CSV file as published, or parquet with type, plant, unit_id, state, sector, ord")
     b.add_argument("--sources", nargs="+", choices=sorted(readers.FEEDS))
     model = b.add_mutually_exclusive_group()
@@ -35,6 +41,18 @@ def parser() -> argparse.ArgumentParser:
     model.add_argument("--no-llm", action="store_true")
     b.add_argument("--force", action="store_true", help="build anew although a result is there (without --sources)")
     b.add_argument("--yes", action="store_true", help="do not ask before the model is called")
+    for job in ("trial", "check-model"):
+        t = sub.add_parser(job)
+        for name in ("units", "plants", "feeds", "lookup", "curated"):
+            t.add_argument(f"--{name}", required=name in ("units", "plants"))
+        t.add_argument("--sources", nargs=1, default=["NPP"], choices=sorted(readers.FEEDS))
+        t.add_argument("--model", metavar="MODULE:FUNCTION", required=job == "check-model")
+        if job == "trial":
+            t.add_argument("--out", required=True)
+        else:
+            t.add_argument("--known", required=True, help="a resolved table")
+            t.add_argument("--n", type=int, default=10)
+            t.add_argument("--seed", type=int, default=42)
     q = sub.add_parser("products")
     q.add_argument("--tracker", required=True)
     q.add_argument("--out", required=True)
@@ -51,15 +69,47 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def read_inputs(spark: SparkSession, args: argparse.Namespace) -> unified.Inputs:
+    """Missing catalogues and a missing curated list count as empty and are told; a missing lookup is an error only where the American feed is built."""
+    lookup = None
+    if args.lookup and readers.exists(spark, args.lookup):
+        lookup = spark.read.csv(args.lookup, header=True).select("plant_code", "plant_name") if args.lookup.lower().endswith(".csv") else spark.read.parquet(args.lookup)
+    curated = readers.curated_list(spark, args.curated) if args.curated and readers.exists(spark, args.curated) else None
+    if args.curated and curated is None:
+        print(f"{args.curated} is missing: the curated stage is left out.")
+    feeds = spark.read.parquet(args.feeds) if args.feeds else cut(readers.pull_feeds(spark, args.sources))
+    return unified.Inputs(feeds, readers.catalogue_file(spark, args.units, readers.UNIT_COLUMNS), readers.catalogue_file(spark, args.plants, readers.PLANT_COLUMNS), lookup, curated)
+
+
+def trial(spark: SparkSession, args: argparse.Namespace) -> int:
+    """One feed through all stages: its rows, the funnel of the stages and the counts of confidence."""
+    matcher = matchers.remote(args.model) if args.model else None
+    result = cut(unified.build(read_inputs(spark, args), cut, matcher, args.sources))
+    publish.publish_trial(result, args.out)
+    evaluation.trial_funnel(result).orderBy("ord").show(truncate=False)
+    evaluation.confidence_counts(result).show()
+    return 0
+
+
+def check_model(spark: SparkSession, args: argparse.Namespace) -> int:
+    """A sample of known matches put to the model; the share it finds again."""
+    inputs = read_inputs(spark, args)
+    known = cut(evaluation.sample_known(spark.read.parquet(args.known), args.sources[0], args.n, args.seed))
+    indexes = {"GEM": cut(stages.catalogue(spark, inputs.units, "GEM", X.comparison_key)), "GPPD": cut(stages.catalogue(spark, inputs.plants, "GPPD", X.second_key))}
+    infos = {"GEM": cut(stages.gem_info(spark, inputs.units)), "GPPD": cut(stages.gppd_info(spark, inputs.plants))}
+    checked = cut(evaluation.check_matcher(known, stages.candidate_text(known, indexes, infos), matchers.remote(args.model)))
+    checked.show(args.n, truncate=False)
+    evaluation.pass_rate(checked).show()
+    return 0
+
+
 def build(spark: SparkSession, args: argparse.Namespace, ask=input) -> int:
     there = readers.exists(spark, args.out)
     existing = spark.read.parquet(args.out) if there else None
     if there and not args.sources and not args.force:
         reports.coverage(existing, "source_system", "ref_source").show(truncate=False)
         return 0
-    lookup = spark.read.parquet(args.lookup) if args.lookup else None
-    curated = readers.curated_list(spark, args.curated) if args.curated else None
-    inputs = unified.Inputs(spark.read.parquet(args.feeds), spark.read.parquet(args.units), spark.read.parquet(args.plants), lookup, curated)
+    inputs = read_inputs(spark, args)
     matcher = matchers.remote(args.model) if args.model else None
     if not args.no_llm and not args.yes:
         n = inputs.feeds.select(F.count_distinct(F.coalesce("plant_name", "plant_code"), "source_system")).first()[0]
@@ -150,7 +200,7 @@ def drop_old(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
-JOBS = {"drop-old": drop_old, "build": build, "products": publish_products, "publish": publish_tables, "lookup": build_lookup}
+JOBS = {"trial": trial, "check-model": check_model, "drop-old": drop_old, "build": build, "products": publish_products, "publish": publish_tables, "lookup": build_lookup}
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -42,7 +45,12 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
 
 
 class Catalogue:
-    """Names scored all at once against one text: one machine word of LCS state per name."""
+    """Names scored all at once against one text: one machine word of LCS state per name.
+
+    ``keys`` come by length. :meth:`within` tells which of them can reach a
+    score at all: with a common part of at most the shorter length, a score of
+    ``cutoff`` needs lengths of a ratio of ``cutoff / (200 - cutoff)`` or more.
+    """
 
     def __init__(self, keys: list[str]):
         self.keys = keys
@@ -57,16 +65,45 @@ class Catalogue:
                     m = self.masks[x] = np.zeros(len(self.short), np.uint64)
                 m[row] |= np.uint64(1 << p)
 
-    def scores(self, text: str) -> np.ndarray:
-        lcs = np.zeros(len(self.keys), np.int64)
-        s = np.full(len(self.short), ~np.uint64(0))
+    def within(self, text: str, cutoff: float) -> tuple[int, int]:
+        """Range of the keys whose length lets them score ``cutoff``."""
+        if cutoff <= 0:
+            return 0, len(self.keys)
+        least = cutoff / (200.0 - cutoff)
+        return int(np.searchsorted(self.lengths, math.ceil(len(text) * least - 1e-9))), int(np.searchsorted(self.lengths, math.floor(len(text) / least + 1e-9), "right"))
+
+    def scores(self, text: str, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """Scores of the keys from ``lo`` to ``hi``."""
+        hi = len(self.keys) if hi is None else hi
+        n = len(self.short)  # short keys come first
+        a, b = min(lo, n), min(hi, n)
+        lcs = np.zeros(hi - lo, np.int64)
+        s = np.full(b - a, ~np.uint64(0))
         for x in text:
             m = self.masks.get(x)
             if m is not None:
-                u = s & m
+                u = s & m[a:b]
                 s = (s + u) | (s - u)
-        lcs[self.short] = np.bitwise_count(~s)
-        for i in self.long:
-            lcs[i] = lcs_length(self.keys[i], text)
-        total = self.lengths + len(text)
+        lcs[: b - a] = np.bitwise_count(~s)
+        for i in range(max(lo, n), hi):
+            lcs[i - lo] = lcs_length(self.keys[i], text)
+        total = self.lengths[lo:hi] + len(text)
         return np.where(total > 0, 200.0 * lcs / np.maximum(total, 1), 100.0)
+
+
+class Pairwise:
+    """A catalogue under any scorer of two texts (0 to 100), one pair at a time; no length is ruled out."""
+
+    def __init__(self, scorer: Callable[[str, str], float]):
+        self.scorer, self.keys = scorer, []
+
+    def __call__(self, keys: list[str]) -> Pairwise:
+        out = Pairwise(self.scorer)
+        out.keys = keys
+        return out
+
+    def within(self, text: str, cutoff: float) -> tuple[int, int]:
+        return 0, len(self.keys)
+
+    def scores(self, text: str, lo: int, hi: int) -> np.ndarray:
+        return np.array([self.scorer(text, k) for k in self.keys[lo:hi]], np.float64)

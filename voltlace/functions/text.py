@@ -95,11 +95,12 @@ def second_key(folded: Column) -> Column:
 def validates(plant_folded: Column, matched_folded: Column, min_word_len: int = 4) -> Column:
     """Whether a word of the plant's base name that means something stands in the matched name as a whole word.
 
-    Both sides are folded; the plant side is a base name. Without such a word
+    Both sides are folded; the plant side is a base name. Hyphens and
+    underscores count as spaces on both sides. Without such a word
     the whole phrase must stand there; an empty phrase never does.
     """
     phrase = F.trim(F.regexp_replace(F.regexp_replace(F.lower(plant_folded), "[-_]", " "), SPACE, " "))
-    text = F.lower(matched_folded)
+    text = F.regexp_replace(F.lower(matched_folded), "[-_]", " ")
     stop = F.array(*[F.lit(w) for w in STOP_WORDS])
     words = F.filter(F.split(phrase, " "), lambda w: (F.length(w) >= min_word_len) & ~F.array_contains(stop, w))
     stands = lambda w: F.regexp_like(text, F.concat(F.lit(r"(?<![\p{L}\p{N}_])\Q"), w, F.lit(r"\E(?![\p{L}\p{N}_])")))

@@ -1,46 +1,52 @@
 """Similarity top-1 / top-k join of names with a catalogue, exhaustive within a group.
 
 The catalogue is a stated set: it goes to the tasks in blocks of at most
-``block`` names (checked by counting), and each block is scored against the
-distinct names where they lie; a name meets the whole catalogue of its group,
-so no hit is lost. Names are spread evenly first, whatever their group, so a
-group that holds most names is no hot spot. More than one block costs one
-more pass each and a last merge per name.
+``block`` names (checked by counting; some 10 MB), and each block is scored
+against the distinct names. With a cutoff a name only meets the part of its
+group's catalogue whose lengths can reach it, which the score's definition
+bounds exactly; so no hit is lost. Names are spread evenly over all cores
+first, whatever their group and however few bytes they are, so a group that
+holds most names is no hot spot. More than one block costs one more pass each
+and a last merge per name.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltlace.functions.similarity import Catalogue, token_sorted
+from voltlace.functions.similarity import Catalogue, Pairwise, token_sorted
 
 BLOCK = 100_000
 
 
-def top_matches(names: DataFrame, catalogue: DataFrame, k: int = 1, cutoff: float | None = 80.0, block: int = BLOCK) -> DataFrame:
+def top_matches(names: DataFrame, catalogue: DataFrame, k: int = 1, cutoff: float | None = 80.0, block: int = BLOCK, scorer: Callable[[str, str], float] | None = None) -> DataFrame:
     """(grp, key, name, ord, score, rank): the ``k`` best names of the catalogue for each distinct (grp, key).
 
     ``names`` has grp and key, ``catalogue`` grp, key, name and ord. Equal
     scores go to the lower ``ord``. Null or empty keys of names find nothing.
+    ``scorer`` takes two token-sorted keys and gives 0 to 100; without one the
+    bit-parallel token-sort ratio scores.
     """
     spark = names.sparkSession
-    queries = names.where("key <> ''").select("grp", "key").distinct().withColumn("sorted", token_sorted(F.col("key")))
+    queries = names.where("key <> ''").select("grp", "key").distinct().withColumn("sorted", token_sorted(F.col("key"))).repartition(4 * spark.sparkContext.defaultParallelism)
     refs = catalogue.where("key is not null").select("grp", "name", F.col("ord").cast("long").alias("ord"), token_sorted(F.col("key")).alias("sorted"))
     whole = refs.limit(block + 1).toPandas()  # at most one name over a block
     blocks = 1 if len(whole) <= block else math.ceil(refs.count() / block)
     schema = "grp string, key string, name string, ord long, score double"
 
     def search(part: pd.DataFrame):
-        sent = spark.sparkContext.broadcast({g: (p["sorted"].tolist(), p["name"].to_numpy(object), p["ord"].to_numpy()) for g, p in part.sort_values("ord").groupby("grp")})
+        by_length = part.assign(length=part["sorted"].str.len()).sort_values(["length", "ord"])
+        sent = spark.sparkContext.broadcast({g: (p["sorted"].tolist(), p["name"].to_numpy(object), p["ord"].to_numpy()) for g, p in by_length.groupby("grp")})
+        make = Catalogue if scorer is None else Pairwise(scorer)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            built: dict[str, Catalogue] = {}
+            built: dict[str, Catalogue | Pairwise] = {}
             for pdf in batches:
                 out: list[tuple] = []
                 for g, key, text in zip(pdf["grp"], pdf["key"], pdf["sorted"]):
@@ -48,11 +54,12 @@ def top_matches(names: DataFrame, catalogue: DataFrame, k: int = 1, cutoff: floa
                         continue
                     keys, labels, ords = sent.value[g]
                     if g not in built:
-                        built[g] = Catalogue(keys)
-                    scores = built[g].scores(text)
+                        built[g] = make(keys)
+                    lo, hi = built[g].within(text, cutoff or 0.0)
+                    scores = built[g].scores(text, lo, hi)
                     good = np.flatnonzero(scores >= cutoff) if cutoff is not None else np.arange(len(scores))
-                    best = good[np.lexsort((ords[good], -scores[good]))[:k]]
-                    out += [(g, key, labels[i], int(ords[i]), float(scores[i])) for i in best]
+                    best = good[np.lexsort((ords[lo:hi][good], -scores[good]))[:k]]
+                    out += [(g, key, labels[lo + i], int(ords[lo + i]), float(scores[i])) for i in best]
                 yield pd.DataFrame(out, columns=["grp", "key", "name", "ord", "score"]).astype({"ord": "int64", "score": "float64"})
 
         return run

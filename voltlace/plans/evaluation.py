@@ -15,7 +15,7 @@ from voltlace.plans.matchers import NameMatcher, run_matcher
 def sample_known(resolved: DataFrame, source: str, n: int, seed: int) -> DataFrame:
     """``n`` rows of a feed that the similarity stage matched, drawn by the hash of their name."""
     known = resolved.where((F.col("source_system") == source) & (F.col("matching_method") == "rapidfuzz") & F.col("ref_matched_name").isNotNull())
-    return known.select("plant_name", "source_system", "ref_matched_name").orderBy(F.xxhash64("plant_name", F.lit(seed)), "plant_name").limit(n)
+    return known.select("plant_name", "source_system", "ref_matched_name").distinct().orderBy(F.xxhash64("plant_name", F.lit(seed)), "plant_name").limit(n)
 
 
 def check_matcher(known: DataFrame, candidates: DataFrame, build: Callable[[], NameMatcher]) -> DataFrame:

@@ -13,9 +13,9 @@ from voltlace.functions import similarity as S
 from voltlace.functions import text as X
 from voltlace.operators import dedup, folds, joins, reports
 from voltlace.operators.similarity_join import top_matches
-from voltlace.plans import matchers, stages, unified
+from voltlace.plans import evaluation, matchers, stages, unified
 from voltlace.plans import sqltext as Q
-from voltlace.session import cut, table
+from voltlace.session import cut, scratch, table
 from voltlace.sources import publish, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -266,16 +266,17 @@ def semi_join(s, d):
 
 
 @query(
-    f"""WITH {Q.TOP_INPUT}, {Q.scored('q', 'c')}
+    f"""WITH {Q.top_input()}, {Q.scored('q', 'c')}
     SELECT grp, key, name, ord, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY grp, key ORDER BY score DESC, ord) AS rn FROM scored WHERE score >= 80) WHERE rn = 1"""
 )
 def similarity_top1(s, d):
+    """Every feed's names against its own catalogue."""
     names, catalogue = _top_input(s, d)
     return top_matches(names, catalogue).select("grp", "key", "name", "ord", F.round("score", 6).alias("score"))
 
 
 @query(
-    f"""WITH {Q.TOP_INPUT}, {Q.scored('q', 'c', bound=False)}
+    f"""WITH {Q.top_input()}, {Q.scored('q', 'c', bound=False)}
     SELECT grp, key, name, ord, round(score, 6) AS score, rn AS rank FROM (SELECT *, row_number() OVER (PARTITION BY grp, key ORDER BY score DESC, ord) AS rn FROM scored) WHERE rn <= 5"""
 )
 def similarity_topk(s, d):
@@ -284,17 +285,38 @@ def similarity_topk(s, d):
 
 
 def _top_input(s, d):
-    x, g = table(s, d, "eia_plant_lookup"), table(s, d, "gem_database").where("country = 'United States'")
-    names = x.select(F.lit("EIA").alias("grp"), F.upper("plant_name").alias("key"))
-    keyed = g.where("project_name is not null").select(F.lit("EIA").alias("grp"), F.upper("project_name").alias("key"), F.col("project_name").alias("name"), F.col("gem_row_id").alias("ord"))
-    return names, keyed.groupBy("grp", "key").agg(F.min_by("name", "ord").alias("name"), F.min("ord").alias("ord"))
+    named = feeds(s, d).where((F.trim("plant_name") != "") & F.col("source_system").isNotNull())
+    keyed = X.per_distinct(named, "plant_name", {"folded": X.fold_diacritics(F.col("plant_name"))})
+    return keyed.select(F.col("source_system").alias("grp"), X.comparison_key(F.col("folded")).alias("key")), cut(stages.catalogue(s, gem_units(s, d), "GEM", X.comparison_key))
 
 
-@query("SELECT string_agg('  GEM: ' || name, chr(10) ORDER BY ord) AS candidates, count(*) AS n FROM (SELECT project_name AS name, min(gem_row_id) AS ord FROM gem_database WHERE country = 'Japan' AND project_name IS NOT NULL GROUP BY 1)")
+@query(
+    """WITH q AS (SELECT DISTINCT p_brand AS key FROM part), c AS (SELECT p_type AS name, min(p_partkey) AS ord FROM part GROUP BY 1),
+    m AS (SELECT q.key, c.name, c.ord, (100 - abs(length(q.key) - length(array_to_string(list_sort(string_split(c.name, ' ')), ' '))))::DOUBLE AS score FROM q, c)
+    SELECT key, name, ord, score FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC, ord) AS rn FROM m WHERE score >= 90) WHERE rn = 1"""
+)
+def similarity_own_scorer(s, d):
+    """A scorer of one's own: here, how near two texts are in length."""
+    part = table(s, d, "part")
+    catalogue = part.groupBy(F.col("p_type").alias("name")).agg(F.min("p_partkey").alias("ord")).select(F.lit("part").alias("grp"), F.col("name").alias("key"), "name", "ord")
+    names = part.select(F.lit("part").alias("grp"), F.col("p_brand").alias("key"))
+    return top_matches(names, catalogue, 1, 90.0, scorer=lambda a, b: 100.0 - abs(len(a) - len(b))).select("key", "name", "ord", "score")
+
+
+@query(
+    """WITH n AS (SELECT 0 AS o, project_name AS name, min(gem_row_id) AS ord, '  GEM: ' AS label FROM gem_database WHERE country = 'Japan' AND project_name IS NOT NULL GROUP BY 2
+    UNION ALL SELECT 1, name, min(gppd_row_id), '  GPPD: ' FROM gppd WHERE country = 'JPN' AND name IS NOT NULL GROUP BY 2)
+    SELECT string_agg(label || name, chr(10) ORDER BY o, ord, name) AS candidates FROM n"""
+)
 def all_candidates(s, d):
-    g = table(s, d, "gem_database").where("country = 'Japan' and project_name is not null").groupBy(F.col("project_name").alias("name")).agg(F.min("gem_row_id").alias("ord"))
-    lines = F.transform(F.sort_array(F.collect_list(F.struct("ord", "name"))), lambda x: F.concat(F.lit("  GEM: "), x["name"]))
-    return g.agg(F.array_join(lines, "\n").alias("candidates"), F.count("*").alias("n"))
+    return stages.all_candidates({"GEM": stages.gem_info(s, gem_units(s, d)), "GPPD": stages.gppd_info(s, gppd_plants(s, d))})
+
+
+@query(None)
+def retriever_candidates(s, d):
+    """The retriever over named sources, for every feed name."""
+    g, p = gem_units(s, d).select("name", "ord"), gppd_plants(s, d).select("name", "ord")
+    return stages.CandidateRetriever({"GEM": g, "GPPD": p}).candidates(feeds(s, d).where("plant_name is not null"), 3)
 
 
 _HOLDERS = """cat AS (SELECT 'GEM' AS source, project_name AS name, min(gem_row_id) AS v FROM gem_database WHERE project_name IS NOT NULL GROUP BY 2
@@ -459,10 +481,24 @@ def curated_units(s: SparkSession, d: str) -> DataFrame:
     return x.join(g, "project_name").select(kind.alias("type"), F.concat(F.lit(" "), F.lower(F.replace("plant_name", F.lit(" "), F.lit("  ")))).alias("plant"), "unit_id", F.col("subnational").alias("state"), F.col("status").alias("sector"), "ord")
 
 
-@query(None)
+@query(
+    f"""WITH feed AS (SELECT plant_name, min(ref_matched_name) AS project FROM unified_plant_crosswalk WHERE source_system = 'NPP' AND plant_name IS NOT NULL GROUP BY 1),
+    lst AS (SELECT CASE WHEN {Q.is_coal('g.fuel')} THEN 'coal' ELSE 'other' END AS type, ' ' || lower(replace(f.plant_name, ' ', '  ')) AS plant, g.unit_id, g.subnational AS state, g.status AS sector, g.gem_row_id AS ord
+      FROM feed f JOIN gem_database g ON g.project_name = f.project AND g.country = 'India'),
+    idx AS (SELECT lower({Q.trim(Q.spaces('plant_name'))}) AS k, max(plant_name) AS plant_name FROM feed GROUP BY 1),
+    named AS (SELECT lst.*, idx.plant_name FROM lst JOIN idx ON idx.k = lower({Q.trim(Q.spaces('plant'))}) WHERE type = 'coal'),
+    u AS (SELECT * FROM (SELECT unit_id, project_name, fuel, capacity, technology, latitude, longitude, row_number() OVER (PARTITION BY unit_id ORDER BY gem_row_id) AS rn FROM gem_database WHERE unit_id IS NOT NULL) WHERE rn = 1),
+    w AS (SELECT n.plant, n.plant_name, n.ord, n.state, n.sector, u.project_name, {Q.number("replace(lower(trim(u.capacity)), 'mw', '')")} AS cap, {Q.coal_type('u.fuel')} AS ct, {Q.tech('u.technology')} AS tech, u.latitude, u.longitude,
+      u.latitude IS NOT NULL AND u.longitude IS NOT NULL AS located FROM named n LEFT JOIN u ON u.unit_id = n.unit_id),
+    folded AS (SELECT plant, plant_name, sum(cap) AS capacity_mw, coalesce(arg_min(ct, ord) FILTER (ct IS NOT NULL), 'unknown') AS coal_type, arg_min(tech, ord) FILTER (tech IS NOT NULL) AS combustion_tech,
+      arg_min(project_name, ord) FILTER (project_name IS NOT NULL) AS ref_matched_name, arg_min(state, ord) FILTER (state IS NOT NULL) AS state, arg_min(sector, ord) FILTER (sector IS NOT NULL) AS sector,
+      arg_min(latitude, ord) FILTER (located) AS latitude, arg_min(longitude, ord) FILTER (located) AS longitude FROM w GROUP BY ALL HAVING count(*) FILTER (located) > 0)
+    SELECT plant_name, NULL::VARCHAR AS plant_code, 'NPP' AS source_system, latitude, longitude, 'GEM' AS ref_source, 'direct' AS matching_method, 'high' AS confidence, ref_matched_name, NULL::VARCHAR AS reasoning,
+    coal_type, combustion_tech, round(capacity_mw, 6) AS capacity_mw, state, sector FROM (SELECT *, row_number() OVER (PARTITION BY plant_name ORDER BY plant) AS rn FROM folded) WHERE rn = 1"""
+)
 def curated_match(s, d):
     """The curated stage over a derived list."""
-    return stages.curated_match(feeds(s, d), curated_units(s, d), gem_units(s, d))
+    return stages.curated_match(feeds(s, d), curated_units(s, d), gem_units(s, d)).withColumn("capacity_mw", F.round("capacity_mw", 6))
 
 
 @query(None)
@@ -494,31 +530,101 @@ def llm_stage_offline(s, d):
     return unified.build(_inputs(s, d), cut, matchers.OfflineMatcher).where("matching_method = 'offline'")
 
 
-@query("SELECT 'unified' AS product, count(*) AS n_rows, count(*) - count(DISTINCT (coalesce(plant_code, plant_name), source_system)) AS n_double FROM (SELECT DISTINCT plant_name, plant_code, source_system FROM unified_plant_crosswalk)")
+_KEYED = "SELECT plant_name, plant_code, source_system FROM (SELECT *, row_number() OVER (PARTITION BY coalesce(plant_code, plant_name), source_system ORDER BY xwalk_row_id) AS rn FROM unified_plant_crosswalk WHERE coalesce(plant_code, plant_name) IS NOT NULL AND source_system IS NOT NULL) WHERE rn = 1"
+
+
+def _keyed(s, d, key):
+    x = table(s, d, "unified_plant_crosswalk").withColumn("__k", key).where("__k is not null and source_system is not null")
+    return dedup.keep_first(x, ["__k", "source_system"], [F.col("xwalk_row_id")]).select("plant_name", "plant_code", "source_system")
+
+
+@query(_KEYED)
 def publish_checks(s, d):
-    x = table(s, d, "unified_plant_crosswalk").select("plant_name", "plant_code", "source_system").distinct()
-    return x.agg(F.count("*").alias("n_rows"), (F.count("*") - F.count_distinct(F.struct(F.coalesce("plant_code", "plant_name"), "source_system"))).alias("n_double")).select(F.lit("unified").alias("product"), "n_rows", "n_double")
+    """The resolved table published twice over the same place, its key checked, and read again."""
+    path, df = scratch(s), _keyed(s, d, F.coalesce("plant_code", "plant_name"))
+    publish.publish_unified(df.limit(1), path)
+    publish.publish_unified(df, path)
+    return s.read.parquet(path)
+
+
+@query("SELECT plant_name, plant_code, source_system FROM (SELECT *, row_number() OVER (PARTITION BY plant_name, source_system ORDER BY xwalk_row_id) AS rn FROM unified_plant_crosswalk WHERE plant_name IS NOT NULL AND source_system IS NOT NULL) WHERE rn = 1")
+def publish_trial(s, d):
+    path = scratch(s)
+    publish.publish_trial(_keyed(s, d, F.col("plant_name")), path)
+    return s.read.parquet(path)
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def csv_columns(s, d):
+    """A table written as CSV and read again: three of its columns, by a stated schema."""
+    path, df = scratch(s), table(s, d, "customer")
+    publish.write_csv(df, path)
+    return readers.read_csv(s, path, df.schema, ["c_custkey", "c_name", "c_acctbal"])
+
+
+@query("SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey < 0")
+def missing_files(s, d):
+    """Missing files count as empty tables."""
+    schema = table(s, d, "supplier").select("s_suppkey", "s_name").schema
+    return readers.read_csv(s, f"{scratch(s)}.csv", schema).unionByName(readers.read_table(s, scratch(s), schema))
 
 
 @query(
-    f"""WITH r AS (SELECT unit_id AS gcpt_unit_id, CASE WHEN trim(record_source) <> '' AND trim(unit_name) <> '' THEN record_source || '|' || unit_name END AS eia_unit_id, project_name AS plant_name, unit_name,
+    f"""WITH r AS (SELECT unit_id || '#' || gem_row_id AS gcpt_unit_id, CASE WHEN trim(record_source) <> '' AND trim(unit_name) <> '' THEN trim(split_part(record_source, ',', 1)) || '|' || trim(split_part(unit_name, ',', 1)) END AS eia_unit_id, project_name AS plant_name, unit_name,
     coalesce(nullif(regexp_extract(fuel, 'coal:\\s*([\\w-]+)', 1), ''), 'unknown') AS coal_type, trim(lower(coalesce(technology, 'unknown'))) AS technology, {Q.number("nullif(regexp_extract(capacity, '^([0-9.]+)', 1), '')")} AS capacity_mw, country
     FROM gem_database WHERE contains(lower(fuel), 'coal') AND unit_id IS NOT NULL)
-    SELECT eia_unit_id, max(capacity_mw) AS capacity_mw, 1::BIGINT AS n FROM r WHERE eia_unit_id IS NOT NULL GROUP BY 1
-    UNION ALL SELECT NULL, max(capacity_mw), count(*) FROM r WHERE eia_unit_id IS NULL"""
+    SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY eia_unit_id ORDER BY capacity_mw DESC NULLS LAST, gcpt_unit_id) AS rn FROM r WHERE eia_unit_id IS NOT NULL) WHERE rn = 1
+    UNION ALL SELECT * FROM r WHERE eia_unit_id IS NULL"""
 )
 def coal_metadata(s, d):
+    """Published and read again, all columns."""
     g = table(s, d, "gem_database")
-    u = g.select("unit_id", "project_name", "unit_name", "fuel", "technology", "capacity", "country", F.concat(F.lit("EIA: "), "record_source").alias("location_ids"), F.concat(F.lit("EIA: "), "unit_name").alias("other_ids"))
-    return publish.coal_metadata(u).groupBy("eia_unit_id").agg(F.max("capacity_mw").alias("capacity_mw"), F.count("*").alias("n"))
+    u = g.select(
+        F.concat("unit_id", F.lit("#"), "gem_row_id").alias("unit_id"), "project_name", "unit_name", "fuel", "technology", "capacity", "country", F.concat(F.lit("EIA: "), "record_source").alias("location_ids"), F.concat(F.lit("EIA: "), "unit_name").alias("other_ids")
+    )
+    path = scratch(s)
+    publish.publish_coal_metadata(u, path)
+    return s.read.parquet(path)
 
 
 @query(
-    """SELECT plant_code, generator_id, nameplate_capacity_mw FROM (SELECT try_cast(try_cast(plant_code AS DOUBLE) AS BIGINT)::VARCHAR AS plant_code, generator_id, nameplate_capacity_mw FROM eia_generator_info WHERE plant_code IS NOT NULL AND generator_id IS NOT NULL)"""
+    """SELECT try_cast(try_cast(plant_code AS DOUBLE) AS BIGINT)::VARCHAR AS plant_code, generator_id, technology, prime_mover, energy_source_1, nameplate_capacity_mw FROM eia_generator_info WHERE plant_code IS NOT NULL AND generator_id IS NOT NULL"""
 )
 def generator_info(s, d):
     names = {v: k for k, v in publish.GENERATOR_COLUMNS.items()}
-    return publish.generator_info(table(s, d, "eia_generator_info").withColumnsRenamed(names)).select("plant_code", "generator_id", "nameplate_capacity_mw")
+    return publish.generator_info(table(s, d, "eia_generator_info").withColumnsRenamed(names))
+
+
+@query(
+    """SELECT unit_id || '|' || unit_name AS eia_plant_unit_id, CASE WHEN len(string_split(unit_id || '|' || unit_name, '|')) = 2 THEN trim(unit_id) END AS plant_code, CASE WHEN len(string_split(unit_id || '|' || unit_name, '|')) = 2 THEN trim(unit_name) END AS generator_id,
+    project_name, unit_name, latitude, longitude, subnational, status FROM gem_database WHERE unit_id IS NOT NULL AND unit_name IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL"""
+)
+def eia_product(s, d):
+    return publish.eia_product(table(s, d, "gem_database").withColumn("eia_plant_unit_id", F.concat("unit_id", F.lit("|"), "unit_name")))
+
+
+@query(
+    """WITH st AS (SELECT stage, ord, count(*) AS n FROM (SELECT CASE WHEN matching_method = 'direct' THEN 'direct' WHEN matching_method = 'rapidfuzz' AND ref_source = 'GEM' THEN 'similar GEM' WHEN matching_method = 'rapidfuzz' THEN 'similar GPPD' WHEN matching_method = 'llm' THEN 'model' ELSE 'unmatched' END AS stage,
+    CASE WHEN matching_method = 'direct' THEN 0 WHEN matching_method = 'rapidfuzz' AND ref_source = 'GEM' THEN 1 WHEN matching_method = 'rapidfuzz' THEN 2 WHEN matching_method = 'llm' THEN 3 ELSE 4 END AS ord FROM unified_plant_crosswalk) GROUP BY ALL)
+    SELECT stage, ord, n, sum(n) OVER (ORDER BY ord)::BIGINT AS cumulative, 100.0 * (sum(n) OVER (ORDER BY ord))::DOUBLE / (sum(n) OVER ())::DOUBLE AS cumulative_pct, 100.0 * n::DOUBLE / (sum(n) OVER ())::DOUBLE AS uplift_pct FROM st"""
+)
+def trial_funnel(s, d):
+    return evaluation.trial_funnel(table(s, d, "unified_plant_crosswalk"))
+
+
+@query("SELECT confidence, count(*) AS n FROM (SELECT coalesce(confidence, 'unmatched') AS confidence FROM unified_plant_crosswalk WHERE matching_method = 'llm') GROUP BY 1")
+def confidence_counts(s, d):
+    return evaluation.confidence_counts(table(s, d, "unified_plant_crosswalk"))
+
+
+@query(None)
+def matcher_check(s, d):
+    """A sample of known matches put to the stand-in matcher; a sample of a stated size is the feature."""
+    i = _inputs(s, d)
+    indexes = {"GEM": cut(stages.catalogue(s, i.units, "GEM", X.comparison_key)), "GPPD": cut(stages.catalogue(s, i.plants, "GPPD", X.second_key))}
+    infos = {"GEM": cut(stages.gem_info(s, i.units)), "GPPD": cut(stages.gppd_info(s, i.plants))}
+    known = cut(evaluation.sample_known(table(s, d, "unified_plant_crosswalk"), "NPP", 10, 42))
+    return evaluation.check_matcher(known, stages.candidate_text(known, indexes, infos), matchers.OfflineMatcher)
 
 
 @query(

@@ -61,7 +61,8 @@ def validates(base: str, matched: str) -> str:
     phrase = f"trim({spaces(f'regexp_replace(lower({base}), {lit('[-_]')}, {lit(' ')}, {lit('g')})')})"
     stop = "[" + ", ".join(lit(w) for w in X.STOP_WORDS) + "]"
     words = f"list_filter(string_split({phrase}, ' '), lambda w: length(w) >= 4 AND NOT list_contains({stop}, w))"
-    stands = lambda w: rf"regexp_matches(lower({matched}), '(?:^|[^\p{{L}}\p{{N}}_])' || regexp_escape({w}) || '(?:$|[^\p{{L}}\p{{N}}_])')"
+    text = f"regexp_replace(lower({matched}), {lit('[-_]')}, ' ', 'g')"
+    stands = lambda w: rf"regexp_matches({text}, '(?:^|[^\p{{L}}\p{{N}}_])' || regexp_escape({w}) || '(?:$|[^\p{{L}}\p{{N}}_])')"
     return f"coalesce(CASE WHEN len({words}) > 0 THEN len(list_filter({words}, lambda w: {stands('w')})) > 0 WHEN {phrase} <> '' THEN {stands(phrase)} ELSE false END, false)"
 
 
@@ -106,9 +107,10 @@ def lcs_score(a: str, b: str) -> str:
     return f"CASE WHEN length({a}) + length({b}) = 0 THEN 100.0 WHEN {a} = {b} THEN 100.0 WHEN length({a}) = 0 OR length({b}) = 0 THEN 0.0 ELSE (200.0::DOUBLE * {lcs(a, b)}) / (length({a}) + length({b})) END"
 
 
-TOP_INPUT = f"""q AS (SELECT grp, key, {sorted_tokens('key')} AS s FROM (SELECT DISTINCT 'EIA' AS grp, upper(plant_name) AS key FROM eia_plant_lookup WHERE plant_name <> '')),
-c AS (SELECT 'EIA' AS grp, name, ord, {sorted_tokens('key')} AS s FROM (SELECT upper(project_name) AS key, arg_min(project_name, gem_row_id) AS name, min(gem_row_id) AS ord
-FROM gem_database WHERE country = 'United States' AND project_name IS NOT NULL GROUP BY 1))"""
+def top_input() -> str:
+    """Names of all feeds (q) and the first catalogue of each (c), by their keys."""
+    names = f"SELECT DISTINCT source_system AS grp, {key1('f')} AS key FROM (SELECT source_system, {fold('plant_name')} AS f FROM unified_plant_crosswalk WHERE trim(plant_name) <> '' AND source_system IS NOT NULL)"
+    return f"{_catalogues()}, q AS (SELECT grp, key, {sorted_tokens('key')} AS s FROM ({names}) WHERE key <> ''), c AS (SELECT grp, name, ord, s FROM gem_x)"
 
 
 def scored(q: str, c: str, bound: bool = True, out: str = "scored") -> str:

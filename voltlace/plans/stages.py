@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voltlace.functions import text as X
 from voltlace.functions.domain import valid_coordinates
-from voltlace.operators.dedup import keep_first
+from voltlace.operators.dedup import keep_first, name_index
 from voltlace.operators.folds import curated_fold, first_coordinates, fold_units
 from voltlace.operators.joins import first_match_lookup, normalized_key_join, unique_holder
 from voltlace.operators.similarity_join import top_matches
@@ -113,6 +113,34 @@ def gppd_info(spark, plants: DataFrame) -> DataFrame:
     return folded.withColumn("grp", F.substring_index("name", "\x01", 1)).withColumn("name", F.expr("substr(name, instr(name, '\x01') + 1)"))
 
 
+def all_candidates(names: dict[str, DataFrame], feed: str = ALL_CANDIDATES_FEED) -> DataFrame:
+    """(candidates): every name of the feed's catalogues (grp, name, ord), one per line; as long as one prompt, so one task makes it."""
+    every = None
+    for o, (label, index) in enumerate(names.items()):
+        part = index.where(F.col("grp") == feed).select(F.lit(o).alias("o"), "ord", F.concat(F.lit(f"  {label}: "), "name").alias("text"))
+        every = part if every is None else every.unionByName(part)
+    return every.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o", "ord", "text"))), lambda x: x["text"]), "\n").alias("candidates"))
+
+
+class CandidateRetriever:
+    """Candidates for names from named reference sources: label -> (name, ord). The label GPPD has its own key."""
+
+    def __init__(self, sources: dict[str, DataFrame]):
+        self.names = {label: rows.where("name is not null").groupBy("name").agg(F.min("ord").alias("ord")).withColumn("grp", F.lit("all")) for label, rows in sources.items()}
+        self.indexes = {}
+        for label, rows in self.names.items():
+            key = X.second_key if label == "GPPD" else X.comparison_key
+            self.indexes[label] = name_index(rows, lambda c, key=key: key(X.fold_diacritics(c))).withColumn("grp", F.lit("all"))
+
+    def candidates(self, plants: DataFrame, limit: int = 15) -> DataFrame:
+        """(plant_name, candidates): the ``limit`` best names of each source, best first."""
+        asked = plants.select("plant_name", F.lit("all").alias("source_system"))
+        return candidate_text(asked, self.indexes, k=limit).select("plant_name", "candidates")
+
+    def all_candidates(self) -> DataFrame:
+        return all_candidates(self.names, "all")
+
+
 def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], names: dict[str, DataFrame] | None = None, k: int = 15) -> DataFrame:
     """(plant_name, source_system, candidates): the ``k`` best names of each catalogue, best first, one per line.
 
@@ -129,11 +157,7 @@ def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], names: dict
         lines = got if lines is None else lines.unionByName(got)
     line = F.struct((-F.col("score")).alias("s"), "o", "ord", X.candidate_line(F.col("label"), F.col("name"), F.col("score")).alias("text"))
     best = lines.groupBy("plant_name", "source_system").agg(F.array_join(F.transform(F.sort_array(F.collect_list(line)), lambda x: x["text"]), "\n").alias("candidates"))
-    every = None
-    for o, (label, index) in enumerate((names or indexes).items()):
-        part = index.where(F.col("grp") == ALL_CANDIDATES_FEED).select(F.lit(o).alias("o"), "ord", F.concat(F.lit(f"  {label}: "), "name").alias("text"))
-        every = part if every is None else every.unionByName(part)
-    whole = every.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o", "ord", "text"))), lambda x: x["text"]), "\n").alias("candidates")).withColumn("source_system", F.lit(ALL_CANDIDATES_FEED))
+    whole = all_candidates(names or indexes).withColumn("source_system", F.lit(ALL_CANDIDATES_FEED))
     rest = folded.select("plant_name", "source_system").join(whole, "source_system")
     left = folded.select("plant_name", "source_system").where(F.col("source_system") != ALL_CANDIDATES_FEED)
     return left.join(best, ["plant_name", "source_system"], "left").unionByName(rest.select("plant_name", "source_system", "candidates")).withColumn("candidates", F.coalesce("candidates", F.lit("")))

@@ -66,6 +66,11 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession) -> str:
+    """Path of a table of one's own in the shared folder; it goes with the application's other tables."""
+    return f"{_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def release(df: DataFrame) -> None:
     """Deletes the table that :func:`cut` wrote for ``df``, once nothing reads it any more; other tables stay."""
     ref, path = _written.pop(id(df), (lambda: None, ""))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -173,7 +174,8 @@ def save_product(df: DataFrame, path: str) -> bool:
     """Writes a product; false if that failed."""
     try:
         df.write.mode("overwrite").parquet(path)
-    except Exception:  # noqa: BLE001 - the caller goes on with the other products
+    except Exception as e:  # noqa: BLE001 - the caller goes on with the other products
+        warnings.warn(f"{path} was not written: {e}", stacklevel=2)
         return False
     return True
 

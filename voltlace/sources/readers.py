@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import warnings
 from collections.abc import Mapping
 from pathlib import Path
 from urllib.parse import quote_plus
@@ -131,6 +132,25 @@ def curated_list(spark: SparkSession, path: str) -> DataFrame:
     return with_order(raw.select(*[F.col(f"`{k}`").alias(v) for k, v in CURATED_COLUMNS.items()]))
 
 
+# Headers of the two catalogues' CSV files -> names and types. Fixed values.
+UNIT_COLUMNS = {"Unit ID": "unit_id", "Project Name": "name", "Country/Area": "country", "Fuel": "fuel", "Capacity": "capacity", "Technology": "technology", "Latitude": "latitude", "Longitude": "longitude"}
+PLANT_COLUMNS = {"name": "name", "country": "country", "latitude": "latitude", "longitude": "longitude"}
+
+
+def catalogue_file(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """A catalogue as the build reads it: its CSV file as published, or parquet of that shape; a missing file gives an empty one, and says so."""
+    schema = T.StructType([T.StructField(n, T.DoubleType() if n in ("latitude", "longitude") else T.StringType()) for n in columns.values()] + [T.StructField("ord", T.LongType())])
+    if not exists(spark, path):
+        warnings.warn(f"{path} is missing; going on without it", stacklevel=2)
+        return spark.createDataFrame([], schema)
+    if not path.lower().endswith(".csv"):
+        return spark.read.parquet(path)
+    raw = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    picked = [(F.col(f"`{k}`") if k in raw.columns else F.lit(None)).cast("string").alias(v) for k, v in columns.items()]
+    df = with_order(raw.select(*picked))
+    return df.withColumns({c: F.col(c).try_cast("double") for c in ("latitude", "longitude")})
+
+
 # -- tracker files -----------------------------------------------------------
 
 # Tracker headers -> names. Fixed values.
@@ -183,8 +203,9 @@ class Tracker:
                 if self._data is not None:
                     self._data.unpersist()
                 self._data = with_order(tidy_tracker(raw)).cache()
-            except Exception:  # noqa: BLE001 - an unreadable file counts as none
-                return self.spark.createDataFrame([], "project_name string")
+            except Exception as e:  # noqa: BLE001 - an unreadable file counts as none
+                warnings.warn(f"no tracker in {self.folder}: {type(e).__name__}", stacklevel=2)
+                return self.spark.createDataFrame([], ", ".join(f"{c} {'double' if c in ('latitude', 'longitude') else 'string'}" for c in TRACKER_COLUMNS.values()) + ", ord long")
         return self._data
 
     def _where(self, column: str, values: list[str]) -> DataFrame:
