@@ -34,7 +34,6 @@ from pyspark.sql import types as T
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Byte-level BPE's published split pattern. Fixed value.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-PIECE = 20_000
 
 
 class Mix(NamedTuple):
