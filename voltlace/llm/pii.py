@@ -168,6 +168,8 @@ EMAIL_SPELT = regex.compile(
     r"[\p{L}\d-]+(?:(?:\s?[\[({<]\s?(?:dot|\.)\s?[\])}>]\s?|\s+dot\s+|\.)[\p{L}\d-]+)*(?:\s?[\[({<]\s?(?:dot|\.)\s?[\])}>]\s?|\s+dot\s+)\p{L}{2,}(?![\p{L}\d])",
     regex.I,
 )
+# an "at" and a "dot" not far behind it: a cheap look before the pattern above
+_SPELT = regex.compile(r"(?:\sat\s+|[\[({<]\s?(?:at|@)\s?[\])}>]\s?)[\p{L}\d-][^\n]{0,200}?(?:\sdot\s|[\[({<]\s?(?:dot|\.)\s?[\])}>])")
 PHONE = regex.compile(
     r"(?<![\w.+/-])(?<!\d )(?:"
     r"(?:\+|00)\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{1,5}(?:[ .-]?\d{2,4}){1,4}"
@@ -195,6 +197,8 @@ ID_SHAPES = tuple(
         ("1 2 2 2 3 3 2", r"[12] ?\d{2} ?\d{2} ?\d{2} ?\d{3} ?\d{3} ?\d{2}", 0.2),
     )
 )
+# eight digits or more, or two letters and six digits: without them no shape fits
+_ID_LIKE = regex.compile(r"\d(?:[ .+-]?\d){7}|[A-Z]{2} ?\d\d ?\d\d ?\d\d")
 VALIDATORS = {
     "two letters, six digits, letter": prefix_letters, "3.3.3-2": lambda t: mod11_pair(digits_of(t)), "3-2-4": area_group_serial, "3 2 4": area_group_serial, "12 digits": twelve_digits, "11 digits": eleven_digits,
     "9 digits": nine_digits, "8 digits and letter": check_letter, "13 digits": luhn_date, "6-4": luhn_date, "1 2 2 2 3 3 2": key_of_97,
@@ -217,8 +221,9 @@ STREETS = (
         rf"(?:{_TITLE}){{1,5}},? ?(?:(?:[nN]º|[nN]\.º|[nN]°|[nN]úm\.|[nN]o\.) ?)?{_NUMBER}(?![\w/])"
     ),
 )
-# what the second pattern ends with, without what comes before it: a cheap look first
-_STREET_END = regex.compile(r"(?:stra(?:ß|ẞ|ss)e|str\.|weg|allee|gasse|platz|ring|damm|ufer|chaussee|steig|pfad|zeile)(?: nr\.)? \d", regex.I)
+# what stands before the number in the second pattern: a cheap look before it
+_AT_NUMBER = regex.compile(r" (?:[Nn][Rr]\. )?\d")
+_STREET_ENDS = ("straße", "strasse", "str.", "weg", "allee", "gasse", "platz", "ring", "damm", "ufer", "chaussee", "steig", "pfad", "zeile", "STRASSE", "STRAßE", "STRAẞE", "WEG", "ALLEE", "GASSE", "PLATZ", " Nr.", " NR.")
 _LETTERS = regex.compile(r"\p{L}+")
 _CAP = r"\p{Lu}\p{Ll}[\p{L}\p{M}'’]*"
 _FAMILY = rf"(?:{_CAP}|\p{{Lu}}{{3,}})(?:-(?:{_CAP}|\p{{Lu}}{{3,}}))?"
@@ -311,10 +316,10 @@ def find_spans(text: str) -> list[Span]:
         out += [Span(m.start(), m.end(), "email", 1.0) for m in EMAIL.finditer(text)]
     low = text.lower()
     if " at " in low or "at]" in low or "at)" in low or "at}" in low or "at>" in low or "@ " in low or "[@" in low or "(@" in low:
-        if "dot" in low or "[.]" in low or "(.)" in low:
+        if _SPELT.search(low):
             out += [Span(m.start(), m.end(), "email", 0.95) for m in EMAIL_SPELT.finditer(text)]
     phones = list(PHONE.finditer(text))
-    numbers = [(name, weight, m) for name, shape, weight in ID_SHAPES for m in shape.finditer(text)]
+    numbers = [(name, weight, m) for name, shape, weight in ID_SHAPES for m in shape.finditer(text)] if _ID_LIKE.search(text) else []
     held = _accounts(text) if phones or numbers else []
     free = lambda a, b: all(b <= x or a >= y for x, y in held)
     for m in phones:
@@ -329,7 +334,7 @@ def find_spans(text: str) -> list[Span]:
         if free(*m.span()):
             out.append(Span(m.start(), m.end(), "national_id", number_score(name, weight, text, *m.span())))
     for street in STREETS:
-        if street is STREETS[1] and not _STREET_END.search(text):
+        if street is STREETS[1] and not any(text.endswith(_STREET_ENDS, 0, m.start()) for m in _AT_NUMBER.finditer(text)):
             continue
         out += [Span(m.start(), m.end(), "street_address", 0.9) for m in street.finditer(text)]
     blocks = {s.start for s in out if s.kind == "street_address"}
