@@ -47,14 +47,17 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
 class Catalogue:
     """Names scored all at once against one text: one machine word of LCS state per name.
 
-    ``keys`` come by length. :meth:`within` tells which of them can reach a
-    score at all: with a common part of at most the shorter length, a score of
+    Keys are kept by length. :meth:`within` tells which of them, in that order,
+    can reach a score at all: with a common part of at most the shorter length, a score of
     ``cutoff`` needs lengths of a ratio of ``cutoff / (200 - cutoff)`` or more.
     """
 
     def __init__(self, keys: list[str]):
-        self.keys = keys
-        self.lengths = np.array([len(k) for k in keys], np.int64)
+        lengths = np.array([len(k) for k in keys], np.int64)
+        order = np.argsort(lengths, kind="stable")
+        self.place = np.argsort(order)  # of each given key among the kept ones
+        self.keys = keys = [keys[i] for i in order]
+        self.lengths = lengths[order]
         self.short = np.flatnonzero(self.lengths <= 64)
         self.long = np.flatnonzero(self.lengths > 64)
         self.masks: dict[str, np.ndarray] = {}
@@ -73,8 +76,9 @@ class Catalogue:
         return int(np.searchsorted(self.lengths, math.ceil(len(text) * least - 1e-9))), int(np.searchsorted(self.lengths, math.floor(len(text) / least + 1e-9), "right"))
 
     def scores(self, text: str, lo: int = 0, hi: int | None = None) -> np.ndarray:
-        """Scores of the keys from ``lo`` to ``hi``."""
-        hi = len(self.keys) if hi is None else hi
+        """Scores of all keys as they were given, or of those kept from ``lo`` to ``hi``."""
+        if hi is None:
+            return self.scores(text, 0, len(self.keys))[self.place]
         n = len(self.short)  # short keys come first
         a, b = min(lo, n), min(hi, n)
         lcs = np.zeros(hi - lo, np.int64)
