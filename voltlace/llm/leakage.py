@@ -67,19 +67,16 @@ class Words:
                 out.append((regex.sub(r"\W", "", m.group()), m.start(), m.end()))
                 merged.update(range(m.start(), m.end()))
         joined = {m.start(): m.end() for m in _JOIN.finditer(low)} | {m.start(): m.end() for m in _DROP.finditer(low)}
-        last_end, run = -1, None
-        for m in _WORD.finditer(low):
-            if m.start() in merged:
-                continue
-            if run is not None and joined.get(last_end) == m.start():
-                run = (run[0] + m.group(), run[1], m.end())
+        found = [(m.group(), *m.span()) for m in _WORD.finditer(low)]
+        if merged:
+            found = [w for w in found if w[1] not in merged]
+        parts: list[tuple[str, int, int]] = [] if joined else found
+        for word in found if joined else ():
+            if parts and joined.get(parts[-1][2]) == word[1]:
+                parts[-1] = (parts[-1][0] + word[0], parts[-1][1], word[2])
             else:
-                if run is not None:
-                    out.append(run)
-                run = (m.group(), m.start(), m.end())
-            last_end = m.end()
-        if run is not None:
-            out.append(run)
+                parts.append(word)
+        out += parts
         if merged:
             out.sort(key=lambda x: x[1])
         if places is not None:
@@ -166,7 +163,8 @@ def _judge(material: Material, hits: dict[int, set[tuple[int, int]]]) -> list[tu
                 if last - begin + SEED >= RUN:
                     stretches.append((f, begin, last + SEED - 1))
                 begin = last = p
-        if is_passage and len(seeds) > 1:
+        # all seeds together must reach the share before a stretch of them can
+        if is_passage and SEED * len(seeds) >= SHARE * len(nums) and len({x for _, k in seeds for x in range(k, k + SEED)}) >= SHARE * len(nums):
             stretches += [(f, a, b) for a, b in _edited(sorted(seeds), len(nums))]
         out += stretches
     return out
