@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from voltlace.functions import domain as D
-from voltlace.functions.similarity import Catalogue, lcs_length, ratio
+from voltlace.functions.similarity import Catalogue, _Block, lcs_length, ratio
 
 
 def one(spark, values, f, kind="string"):
@@ -49,3 +50,28 @@ def test_similarity():
         assert lcs_length(a, b) == naive_lcs(a, b)
         scores = Catalogue([b, a, "", b + a]).scores(a)
         assert list(scores) == [ratio(x, a) for x in (b, a, "", b + a)]
+
+
+def test_best_equals_all_scores_sorted():
+    rng = random.Random(2)
+    for case in range(40):
+        letters = ("abc", "ABCDEFGHIJKLMNOPQRSTUVWXYZ 0", "aé\U0001f600" + "".join(map(chr, range(300, 500))))[case % 3]
+        longest = (6, 20, 40, 150)[case % 4]
+        make = lambda: "".join(rng.choices(letters, k=rng.randint(0, longest)))
+        keys, k, cutoff = [make() for _ in range(rng.choice((0, 3, 200)))], rng.choice((1, 3, 15, 999)), rng.choice((None, 50.0, 80.0))
+        texts, ords = [make() + "#" for _ in range(9)] + keys[:9], np.array([rng.randint(0, 20) for _ in keys], np.int64)
+        for text, (places, scores) in zip(texts, Catalogue(keys).best(texts, k, cutoff, ords)):
+            want = sorted((-s, o) for s, o in zip((ratio(x, text) for x in keys), ords) if cutoff is None or s >= cutoff)[:k]
+            assert list(zip(-scores, ords[places])) == want and [ratio(keys[i], text) for i in places] == list(scores)
+
+
+def test_without_a_cutoff_lengths_and_common_endings_save_work(monkeypatch):
+    looked, steps = [], []
+    lcs, room = _Block.lcs, np.bitwise_xor
+    monkeypatch.setattr(_Block, "lcs", lambda self, text: looked.append(self.size) or lcs(self, text))
+    monkeypatch.setattr(np, "bitwise_xor", lambda *a: steps.append(1) or room(*a))
+    names = [x + "QZX" for x in "ABCDEFGH"]
+    catalogue = Catalogue(names + ["A" * 40] * 50)
+    found = catalogue.best(names, 1, None, np.arange(58))
+    assert [(p[0], s[0]) for p, s in found] == [(i, 100.0) for i in range(8)]
+    assert looked == [8] * 8 and len(steps) == 8 + 3  # long keys cannot beat an equal one; the ending is done once

@@ -1,13 +1,14 @@
 """Similarity top-1 / top-k join of names with a catalogue, exhaustive within a group.
 
 The catalogue is a stated set: it goes to the tasks in blocks of at most
-``block`` names (checked by counting; some 10 MB), and each block is scored
-against the distinct names. With a cutoff a name only meets the part of its
-group's catalogue whose lengths can reach it, which the score's definition
-bounds exactly; so no hit is lost. Names are spread evenly over all cores
-first, whatever their group and however few bytes they are, so a group that
-holds most names is no hot spot. More than one block costs one more pass each
-and a last merge per name.
+``block`` names (checked by counting; some 80 MB), and each block is scored
+against the distinct names. A name only meets the part of its group's catalogue
+whose lengths can reach the cutoff or, once ``k`` names are found, the least of
+their scores, which the score's definition bounds exactly; so no hit is lost.
+Names are spread evenly over all cores first, whatever their group and however
+few bytes they are, so a group that holds most names is no hot spot; those with
+the same ending come together and share the work on it. More than one block
+costs one more pass each and a last merge per name.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from voltlace.functions.similarity import Catalogue, Pairwise, token_sorted
 
-BLOCK = 100_000
+BLOCK = 750_000
 
 
 def top_matches(names: DataFrame, catalogue: DataFrame, k: int = 1, cutoff: float | None = 80.0, block: int = BLOCK, scorer: Callable[[str, str], float] | None = None) -> DataFrame:
@@ -34,7 +35,7 @@ def top_matches(names: DataFrame, catalogue: DataFrame, k: int = 1, cutoff: floa
     bit-parallel token-sort ratio scores.
     """
     spark = names.sparkSession
-    queries = names.where("key <> ''").select("grp", "key").distinct().withColumn("sorted", token_sorted(F.col("key"))).repartition(4 * spark.sparkContext.defaultParallelism)
+    queries = names.where("key <> ''").select("grp", "key").distinct().withColumn("sorted", token_sorted(F.col("key"))).repartitionByRange(4 * spark.sparkContext.defaultParallelism, F.reverse("sorted"), "grp")
     refs = catalogue.where("key is not null").select("grp", "name", F.col("ord").cast("long").alias("ord"), token_sorted(F.col("key")).alias("sorted"))
     whole = refs.limit(block + 1).toPandas()  # at most one name over a block
     blocks = 1 if len(whole) <= block else math.ceil(refs.count() / block)
@@ -49,17 +50,14 @@ def top_matches(names: DataFrame, catalogue: DataFrame, k: int = 1, cutoff: floa
             built: dict[str, Catalogue | Pairwise] = {}
             for pdf in batches:
                 out: list[tuple] = []
-                for g, key, text in zip(pdf["grp"], pdf["key"], pdf["sorted"]):
+                for g, asked in pdf.groupby("grp"):
                     if g not in sent.value:
                         continue
                     keys, labels, ords = sent.value[g]
                     if g not in built:
                         built[g] = make(keys)
-                    lo, hi = built[g].within(text, cutoff or 0.0)
-                    scores = built[g].scores(text, lo, hi)
-                    good = np.flatnonzero(scores >= cutoff) if cutoff is not None else np.arange(len(scores))
-                    best = good[np.lexsort((ords[lo:hi][good], -scores[good]))[:k]]
-                    out += [(g, key, labels[lo + i], int(ords[lo + i]), float(scores[i])) for i in best]
+                    for key, (places, scores) in zip(asked["key"], built[g].best(asked["sorted"].tolist(), k, cutoff, ords)):
+                        out += [(g, key, labels[i], int(ords[i]), float(x)) for i, x in zip(places, scores)]
                 yield pd.DataFrame(out, columns=["grp", "key", "name", "ord", "score"]).astype({"ord": "int64", "score": "float64"})
 
         return run
