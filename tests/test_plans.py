@@ -80,6 +80,26 @@ def test_model_stage_and_merge(spark, inputs):
     assert unified.named_feeds(unified.Inputs(inputs.feeds, inputs.units, inputs.plants, None), ["OE"]).count() == 3
 
 
+def test_text_of_all_candidates_is_sent_once(spark, monkeypatch):
+    """In the feed that gets whole catalogues no row carries the text itself."""
+    plants = spark.createDataFrame([(f"桜{i}", None, "OCCTO", None, None) for i in range(50)] + [("KORBA", None, "NPP", None, None)], FEEDS)
+    units = spark.createDataFrame([(f"u{i}", f"Plant {i}", "Japan", "coal", "1 MW", None, 30.0, 130.0, i) for i in range(200)] + [("k", "Korba", "India", "coal", "1 MW", None, 21.0, 82.0, 900)], UNITS)
+    sent, run = [], stages.run_matcher
+    monkeypatch.setattr(stages, "run_matcher", lambda candidates, *a: sent.append(candidates.agg(F.sum(F.length("candidates"))).first()[0]) or run(candidates, *a))
+
+    class Last(M.NameMatcher):
+        name = "last"
+
+        def match(self, plant_name, candidates, source_system=None):
+            lines = candidates.split("\n")
+            assert len(lines) == (200 if source_system == "OCCTO" else 1)
+            return M.MatchResult(plant_name, lines[-1], "GEM", "high", "")
+
+    indexes, infos = {"GEM": stages.catalogue(spark, units, "GEM", X.comparison_key)}, {"GEM": stages.gem_info(spark, units)}
+    got = stages.model_match(plants, indexes, infos, Last, cut).groupBy("ref_matched_name").count().collect()
+    assert sorted(map(tuple, got)) == [("Korba", 1), ("Plant 199", 50)] and sent[0] < 100
+
+
 def test_stand_in_is_no_model(spark, inputs):
     got = unified.build(inputs, cut, M.OfflineMatcher).where("confidence is not null").select("plant_name", "matching_method").collect()
     assert ("BHADRA HPS", "offline") in [tuple(r) for r in got] and {r.matching_method for r in got} == {"offline"}

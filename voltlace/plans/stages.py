@@ -141,11 +141,14 @@ class CandidateRetriever:
         return all_candidates(self.names, "all")
 
 
-def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], names: dict[str, DataFrame] | None = None, k: int = 15) -> DataFrame:
+def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], names: dict[str, DataFrame] | None = None, k: int = 15, whole: bool = True) -> DataFrame:
     """(plant_name, source_system, candidates): the ``k`` best names of each catalogue, best first, one per line.
 
     The feed in another script gets every name of its catalogues instead,
     also those that share a key: ``names`` (grp, name, ord), each name once.
+    That text is the same for all its rows and as long as the catalogues;
+    without ``whole`` these rows have null instead, and :func:`run_matcher`
+    takes the text once.
     """
     folded = X.per_distinct(plants.select("plant_name", "source_system").distinct(), "plant_name", {"folded": X.fold_diacritics(F.col("plant_name"))})
     lines = None
@@ -157,15 +160,18 @@ def candidate_text(plants: DataFrame, indexes: dict[str, DataFrame], names: dict
         lines = got if lines is None else lines.unionByName(got)
     line = F.struct((-F.col("score")).alias("s"), "o", "ord", X.candidate_line(F.col("label"), F.col("name"), F.col("score")).alias("text"))
     best = lines.groupBy("plant_name", "source_system").agg(F.array_join(F.transform(F.sort_array(F.collect_list(line)), lambda x: x["text"]), "\n").alias("candidates"))
-    whole = all_candidates(names or indexes).withColumn("source_system", F.lit(ALL_CANDIDATES_FEED))
-    rest = folded.select("plant_name", "source_system").join(whole, "source_system")
     left = folded.select("plant_name", "source_system").where(F.col("source_system") != ALL_CANDIDATES_FEED)
-    return left.join(best, ["plant_name", "source_system"], "left").unionByName(rest.select("plant_name", "source_system", "candidates")).withColumn("candidates", F.coalesce("candidates", F.lit("")))
+    near = left.join(best, ["plant_name", "source_system"], "left").withColumn("candidates", F.coalesce("candidates", F.lit("")))
+    rest = folded.select("plant_name", "source_system").where(F.col("source_system") == ALL_CANDIDATES_FEED)
+    if not whole:
+        return near.unionByName(rest.withColumn("candidates", F.lit(None).cast("string")))
+    return near.unionByName(rest.crossJoin(F.broadcast(all_candidates(names or indexes))).withColumn("candidates", F.coalesce("candidates", F.lit(""))))
 
 
 def model_match(plants: DataFrame, indexes: dict[str, DataFrame], infos: dict[str, DataFrame], build: Callable[[], NameMatcher], cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows a matcher (a language model, or a stand-in under its own label) finds; its replies are written once before they are used."""
-    replies = cut(run_matcher(candidate_text(plants, indexes, infos), build))
+    every = all_candidates(infos).first()["candidates"]
+    replies = cut(run_matcher(candidate_text(plants, indexes, whole=False), build, {ALL_CANDIDATES_FEED: every or ""}))
     good = replies.where(usable(F.col("match"), F.col("confidence"))).withColumn("m", X.clean_match(F.col("match")))
     answers = good.select("plant_name", "source_system", F.coalesce("m.source", "source").alias("source"), F.col("m.name").alias("name"), X.confidence_key(F.col("confidence")).alias("confidence"), "reasoning", "method")
     holders = None
